@@ -166,20 +166,20 @@ def _require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _last_copy(df: DataFrame, keys: Sequence[str], arrival: str, scope: str) -> DataFrame:
-    """Latest arrival per key, within one file where the file is recorded."""
+    """Latest arrival per key, within one document where that is recorded."""
     if not all(k in df.columns for k in keys):
         return df
     within = [scope] if scope in df.columns else []
     return keep_one(df, [*within, *keys], [arrival], last=True)
 
 
-def clean_live_weather(df: DataFrame, arrival: str = "arrival", scope: str = "source_file") -> DataFrame:
+def clean_live_weather(df: DataFrame, arrival: str = "arrival", scope: str = "document") -> DataFrame:
     """Last copy per observation, keys present, readings as numbers (bad text is null)."""
     once = _require(_last_copy(df, WEATHER_KEY, arrival, scope), WEATHER_KEY)
     return once.withColumns(_to_number(once, ("temp", "wspd", "vis", "precip_hrly", "snow_hrly")))
 
 
-def clean_live_flights(df: DataFrame, arrival: str = "arrival", scope: str = "source_file") -> DataFrame:
+def clean_live_flights(df: DataFrame, arrival: str = "arrival", scope: str = "document") -> DataFrame:
     """Last copy per flight, route and carrier present, delays as numbers, flags as booleans."""
     keys = ("flight_id",) if "flight_id" in df.columns else ("carrier_code", "flight_number", "flight_date")
     once = _require(_last_copy(df, keys, arrival, scope), ("carrier_code", "origin_airport", "destination_airport"))

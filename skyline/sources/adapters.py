@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyline.operators.prep import STATIONS
+from skyline.schemas import LIVE_FLIGHT_RAW, LIVE_WEATHER_RAW, names
 
 # Fixed values of the mapping.
 LIVE_AS_OF = dt.datetime(2024, 4, 1)
@@ -20,6 +21,8 @@ LIVE_SPAN_DAYS = 90
 HOLIDAY_MONTH_DAYS = ("01-01", "02-14", "05-30", "07-04", "09-05", "10-10", "11-11", "11-24", "12-25")
 SKY_CODES = ("CLR", "FEW", "SCT", "BKN", "OVC")
 PHRASES = ("Fair", "Light Rain", "Snow", "Fog", "Cloudy")
+# Airport size limits scaled to the sample tables.
+SAMPLE_CLASSES = ((3000, "major_hub"), (2950, "international_gateway"), (2900, "regional_hub"))
 COUNTRIES = ("United States", "Russia", "Canada", "USA", "Australia", "Mexico", "France")
 
 
@@ -249,3 +252,37 @@ def live_weather(spark: SparkSession, root: str) -> DataFrame:
         F.lit("sample").alias("data_source"), F.lit("v1").alias("api_version"),
         i.alias("arrival"),
     )
+
+
+def live_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """The scraped flights with an outdated copy ahead of some of them."""
+    copies = F.when(F.col("taxi_in_minutes") == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    return live_flights(spark, root).withColumn("copy", F.explode(copies)).withColumns({
+        "arrival_delay_minutes": F.when(F.col("copy") == 0, "999").otherwise(F.col("arrival_delay_minutes")),
+        "arrival": F.concat_ws("-", "copy", "uid"),
+    })
+
+
+def flight_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Scraped flights as JSON documents, one leg with its copies each; a few are unusable."""
+    live = live_flights(spark, root)
+    fields = names(LIVE_FLIGHT_RAW)
+    record = F.struct(*fields)
+    stale = F.struct(*[F.lit("999").alias(c) if c == "arrival_delay_minutes" else F.col(c) for c in fields])
+    records = F.when(F.col("taxi_in_minutes") == 5, F.array(stale, record)).otherwise(F.array(record))
+    meta = F.struct(F.col("uid").alias("id"))
+    body = F.to_json(F.struct(meta.alias("metadata"), records.alias("flights")))
+    return live.withColumn(
+        "value",
+        F.when(F.col("flight_number").endswith("77"), F.to_json(F.struct(meta.alias("metadata"))))
+        .when(F.col("flight_number").endswith("78"), F.concat(F.lit('{"flights": [{"id": "'), F.col("uid")))
+        .otherwise(body),
+    )
+
+
+def weather_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Scraped observations as JSON documents, one reading each."""
+    sky = live_weather(spark, root)
+    meta = F.struct(F.col("arrival").alias("id"))
+    one = F.array(F.struct(*names(LIVE_WEATHER_RAW)))
+    return sky.withColumn("value", F.to_json(F.struct(meta.alias("metadata"), one.alias("observations"))))

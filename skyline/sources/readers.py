@@ -105,20 +105,23 @@ def parse_envelopes(documents: DataFrame, feed: str, text: str = "value", path:
          f"missing '{key}' key"),
     ])
     return documents.select(
-        F.col(path).alias("source_file"), body.alias("raw_data"), wrong.alias("problem"),
-        _records(body, key, record).alias("records"),
+        F.col(path).alias("source_file"),
+        F.concat_ws("#", F.col(path), F.hex(F.xxhash64(body))).alias("document"),
+        body.alias("raw_data"), wrong.alias("problem"), _records(body, key, record).alias("records"),
     )
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
-    """One row per record of the usable documents, with file and position as arrival order."""
-    rows = parsed.filter("problem IS NULL").select("source_file", F.posexplode("records").alias("arrival", "r"))
-    return rows.select("r.*", "source_file", "arrival")
+    """One row per record of the usable documents, with its document and position as arrival order."""
+    rows = parsed.filter("problem IS NULL").select(
+        "source_file", "document", F.posexplode("records").alias("arrival", "r")
+    )
+    return rows.select("r.*", "source_file", "document", "arrival")
 
 
-def read_envelopes(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """Scraped JSON documents of one feed as rows. Files are small, one document each."""
-    docs = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
+def read_envelopes(spark: SparkSession, path: str, feed: str, *, per_line: bool = False) -> DataFrame:
+    """Scraped JSON documents of one feed as rows: one small document per file, or one per line."""
+    docs = spark.read.text(path, wholetext=not per_line, recursiveFileLookup=True).select(
         "value", F.col("_metadata.file_path").alias("path")
     )
     return explode_records(parse_envelopes(docs.filter(feed_of(F.col("path")) == feed), feed))

@@ -26,7 +26,7 @@ def write_table(
     """
     path = f"{root.rstrip('/')}/{folder.strip('/')}" if folder else root.rstrip("/")
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
