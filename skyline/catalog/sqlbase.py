@@ -403,3 +403,28 @@ JOIN timed ON time_uid = buffered.flight_uid
 JOIN placed ON place_uid = buffered.flight_uid
 JOIN holiday_near ON near_date = flight_date
 JOIN skied ON sky_uid = buffered.flight_uid"""
+
+# --- live report intermediates ----------------------------------------------------
+
+_RECENT = "CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '2024-04-01' - INTERVAL {} DAY"
+
+BLOCKS["day_routes"] = f"""
+SELECT origin_airport, destination_airport, count(*) AS total_flights, {n_if('cascade_risk')} AS cascade_events,
+  {share(n_if('cascade_risk'))} AS cascade_rate_pct, {r('avg(arrival_delay_minutes)')} AS avg_arrival_delay,
+  {r('avg(departure_delay_minutes)')} AS avg_departure_delay, {n_if('is_cancelled')} AS cancellations
+FROM live_report WHERE {_RECENT.format(1)} GROUP BY ALL HAVING count(*) >= 5"""
+
+BLOCKS["week_cells"] = f"""
+SELECT origin_airport, destination_airport, hour_of_day, day_of_week, flight_date, count(*) AS flights,
+  {n_if('arrival_delay_minutes > 15')} AS delayed, {r('avg(arrival_delay_minutes)')} AS arr,
+  {r('avg(departure_delay_minutes)')} AS dep, max(arrival_delay_minutes) AS worst,
+  {r('avg(taxi_out_minutes)')} AS taxi_out, {r('avg(taxi_in_minutes)')} AS taxi_in
+FROM live_report WHERE {_RECENT.format(7)} GROUP BY ALL"""
+
+_MINUTES = "TRY_CAST(left({0}, 2) AS INTEGER) * 60 + TRY_CAST(right({0}, 2) AS INTEGER)"
+BLOCKS["numbered_legs"] = f"""
+SELECT *, {_MINUTES.format('actual_arrival_time')} AS landed, {_MINUTES.format('actual_departure_time')} AS gone,
+  {_MINUTES.format('scheduled_departure_time')} AS due,
+  row_number() OVER (PARTITION BY tail_number, flight_date
+    ORDER BY scheduled_departure_time, flight_number, origin_airport, destination_airport) AS seq
+FROM live_report WHERE {_RECENT.format(90)} AND tail_number <> '' AND NOT is_cancelled"""

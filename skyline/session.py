@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("skyline")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", extra.pop("driver_memory", "8g"))
     )
