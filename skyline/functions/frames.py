@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,18 +28,17 @@ def attach(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, *, last: bool = False) -> DataFrame:
     """One row per key: any of them, or the first/last by ``order``.
 
-    Both forms are aggregates with map-side combine, so the copies of a hot key
-    collapse before the shuffle instead of meeting in one task.
+    Both forms reduce map-side: ``dropDuplicates`` is an aggregate, and a filter
+    on the first row number becomes a group limit in front of the exchange. The
+    copies of a hot key therefore collapse before the shuffle instead of meeting
+    in one task, and columns that nobody reads are pruned.
     """
     keys = list(keys)
     if order is None:
         return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.max_by if last else F.min_by
-    chosen = pick(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(chosen.alias("__row")).select(
-        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
-    )
+    ranked = [F.desc_nulls_last(c) if last else F.asc_nulls_first(c) for c in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
 def is_recent(df: DataFrame, as_of: dt.datetime, days: float, stamp: str = "timestamp", day: str = "scrape_date") -> DataFrame:

@@ -110,18 +110,22 @@ def congestion_patterns(live: DataFrame, as_of: dt.datetime, days: float = 7, le
         _mean("taxi_out_minutes").alias("taxi_out"), _mean("taxi_in_minutes").alias("taxi_in"),
     )
 
-    def side(end: str, kind: str, delay: str, taxi: str) -> DataFrame:
-        return (
-            cells.groupBy(F.col(end).alias("airport"), *slot)
-            .agg(F.lit(kind).alias("congestion_type"), F.sum("flights").alias("flight_volume"),
-                 pct(F.sum("delayed"), F.sum("flights")).alias("delay_rate_pct"),
-                 _mean_of_means(delay).alias("avg_delay"), _mean_of_means(taxi).alias("avg_taxi_time"),
-                 F.max("worst").alias("worst_delay"))
-            .filter(F.col("flight_volume") >= least)
-        )
-
-    both = side("origin_airport", "DEPARTURE", "dep", "taxi_out").unionByName(
-        side("destination_airport", "ARRIVAL", "arr", "taxi_in")
+    def side(end: str, kind: str, delay: str, taxi: str) -> Column:
+        return F.struct(F.col(end).alias("airport"), F.lit(kind).alias("congestion_type"),
+                        F.col(delay).alias("delay"), F.col(taxi).alias("taxi"))
+
+    # Each cell counts once at either end of its route, so both sides are one aggregate.
+    ends = F.array(
+        side("origin_airport", "DEPARTURE", "dep", "taxi_out"),
+        side("destination_airport", "ARRIVAL", "arr", "taxi_in"),
+    )
+    both = (
+        cells.select(*slot, "flights", "delayed", "worst", F.explode(ends).alias("end"))
+        .groupBy("end.airport", "end.congestion_type", *slot)
+        .agg(F.sum("flights").alias("flight_volume"), pct(F.sum("delayed"), F.sum("flights")).alias("delay_rate_pct"),
+             _mean_of_means("end.delay").alias("avg_delay"), _mean_of_means("end.taxi").alias("avg_taxi_time"),
+             F.max("worst").alias("worst_delay"))
+        .filter(F.col("flight_volume") >= least)
     )
     hour = F.col("hour_of_day")
     load = F.col("flight_volume") * F.col("delay_rate_pct") * F.coalesce("avg_delay", F.lit(0.0)) / 100.0
@@ -249,65 +253,67 @@ def root_causes(
     live: DataFrame, as_of: dt.datetime, days: float = 7, least: int = 10,
     cancelled_label: str | None = None, k: int | None = 100,
 ) -> DataFrame:
-    """Five views of the same flights in one table: severity, phase, airport, carrier, hour."""
-    recent, n = is_recent(live, as_of, days), F.count("*")
-    overall = Window.partitionBy()  # over grouped rows: one per class
-    late_share = pct(tally(_late()), n)
+    """Five views of the same flights in one table: severity, phase, airport, carrier, hour.
 
-    def share(groups: DataFrame) -> DataFrame:
-        return groups.withColumn("percentage", pct("n", F.sum("n").over(overall)))
-
-    severity = share(
-        recent.groupBy(delay_severity(cancelled_label).alias("metric_value"))
-        .agg(n.alias("n"), _mean("arrival_delay_minutes").alias("avg_delay_minutes"),
-             F.lit(None).cast("double").alias("secondary_metric"))
-    )
-    phase = share(
-        recent.filter(_late()).groupBy(delay_phase().alias("metric_value"))
-        .agg(n.alias("n"), _mean("arrival_delay_minutes").alias("avg_delay_minutes"),
-             _mean("taxi_out_minutes").alias("secondary_metric"))
-    )
+    Every flight is counted under its key in each view, so one scan and one
+    aggregate serve all five; what each view shows is derived from the grouped rows.
+    """
+    hour = F.col("hour_of_day").cast("string")
+    keys = {
+        "SEVERITY_BREAKDOWN": delay_severity(cancelled_label),
+        "DELAY_PHASE": delay_phase(),
+        "AIRPORT_PATTERN": F.col("origin_airport"),
+        "CARRIER_PERFORMANCE": F.col("carrier"),
+        "TIME_PERIOD": F.concat(part_of_day("hour_of_day"), F.lit(" (Hour "), hour, F.lit(")")),
+    }
+    views = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("metric_category"), key.alias("key")) for name, key in keys.items()
+    ]))
+    measured = ("arrival_delay_minutes", "departure_delay_minutes", "taxi_out_minutes", "is_cancelled", "cascade_risk")
+    groups = (
+        is_recent(live, as_of, days).select(views.alias("view"), *measured)
+        .groupBy("view.metric_category", "view.key")
+        .agg(F.count("*").alias("n"), tally(_late()).alias("late"), tally(F.col("is_cancelled")).alias("gone"),
+             tally(_risky()).alias("risky"), F.avg("arrival_delay_minutes").alias("delay"),
+             mean_if(_late(), "arrival_delay_minutes").alias("late_delay"),
+             mean_if(_late(), "departure_delay_minutes").alias("late_departure"),
+             mean_if(_late(), "taxi_out_minutes").alias("late_taxi"))
+    )
+    view, late_pct = F.col("metric_category"), pct("late", "n")
+    is_size, is_phase, is_airport, is_carrier, is_hour = (view == name for name in keys)
+    counted = F.when(is_phase, F.col("late")).otherwise(F.col("n"))
+    of_all = pct(counted, F.sum(counted).over(Window.partitionBy("metric_category")))
     pattern = first_match(
         [
-            (mean_if(_late(), "taxi_out_minutes") > 25, "TAXI_OUT_CONGESTION"),
-            (mean_if(_late(), "departure_delay_minutes") > 30, "DEPARTURE_DELAYS"),
-            (pct(tally(_risky()), n) > 20, "CASCADE_PRONE"),
+            (F.col("late_taxi") > 25, "TAXI_OUT_CONGESTION"),
+            (F.col("late_departure") > 30, "DEPARTURE_DELAYS"),
+            (pct("risky", "n") > 20, "CASCADE_PRONE"),
         ],
         "GENERAL_DELAYS",
     )
-    airports = (
-        recent.groupBy("origin_airport")
-        .agg(n.alias("n"), late_share.alias("percentage"),
-             round_half_up(mean_if(_late(), "arrival_delay_minutes")).alias("avg_delay_minutes"),
-             tally(_risky()).cast("double").alias("secondary_metric"), pattern.alias("pattern"))
-        .filter(F.col("n") >= least)
-        .orderBy(F.desc_nulls_last("percentage"), F.asc("origin_airport")).limit(20)
-        .withColumn("metric_value", F.concat_ws(" - ", "origin_airport", "pattern"))
+    shown = groups.select(
+        view, "key", "n", "late",
+        F.when(is_airport, F.concat_ws(" - ", "key", pattern)).otherwise(F.col("key")).alias("metric_value"),
+        counted.cast("string").alias("count_value"),
+        F.when(is_size | is_phase, of_all).otherwise(late_pct).alias("percentage"),
+        round_half_up(F.when(is_phase | is_airport, F.col("late_delay")).otherwise(F.col("delay"))).alias("avg_delay_minutes"),
+        first_match([
+            (is_phase, round_half_up("late_taxi")),
+            (is_airport, F.col("risky").cast("double")),
+            (is_carrier, pct("gone", "n")),
+        ]).alias("secondary_metric"),
+    )
+    kept = first_match([
+        (is_phase, F.col("late") > 0),
+        (is_airport | is_carrier, F.col("n") >= least),
+        (is_hour, F.col("percentage") > 20),
+    ], True)
+    place = F.row_number().over(
+        Window.partitionBy("metric_category").orderBy(F.desc_nulls_last("percentage"), F.asc_nulls_last("key"))
+    )
+    rows = shown.filter(kept).withColumn("place", place).filter(~is_airport | (F.col("place") <= 20)).select(
+        "metric_category", "metric_value", "count_value", "percentage", "avg_delay_minutes", "secondary_metric"
     )
-    carriers = (
-        recent.groupBy(F.col("carrier").alias("metric_value"))
-        .agg(n.alias("n"), late_share.alias("percentage"), _mean("arrival_delay_minutes").alias("avg_delay_minutes"),
-             pct(tally(F.col("is_cancelled")), n).alias("secondary_metric"))
-        .filter(F.col("n") >= least)
-    )
-    hours = (
-        recent.groupBy(part_of_day("hour_of_day").alias("part"), "hour_of_day")
-        .agg(n.alias("n"), late_share.alias("percentage"), _mean("arrival_delay_minutes").alias("avg_delay_minutes"),
-             F.lit(None).cast("double").alias("secondary_metric"))
-        .filter(F.col("percentage") > 20)
-        .withColumn("metric_value", F.concat(F.col("part"), F.lit(" (Hour "), F.col("hour_of_day").cast("string"), F.lit(")")))
-    )
-    sections = {
-        "SEVERITY_BREAKDOWN": severity, "DELAY_PHASE": phase, "AIRPORT_PATTERN": airports,
-        "CARRIER_PERFORMANCE": carriers, "TIME_PERIOD": hours,
-    }
-    rows = None
-    for name, frame in sections.items():
-        part = frame.select(
-            F.lit(name).alias("metric_category"), "metric_value", F.col("n").cast("string").alias("count_value"),
-            "percentage", "avg_delay_minutes", "secondary_metric",
-        )
-        rows = part if rows is None else rows.unionByName(part)
     return top(rows, k, F.asc("metric_category"), F.desc_nulls_last("percentage"), F.asc_nulls_last("metric_value"))
 
 

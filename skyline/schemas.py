@@ -29,7 +29,7 @@ SECURITY = """
 # and coerced by the cleaning operators.
 LIVE_FLIGHT_RAW = """
     flight_id string, flight_number string, tail_number string, aircraft_type string,
-    carrier_code string, carrier_name string, carrier_reliability_score double,
+    carrier_code string, carrier_name string, carrier_reliability_score string,
     origin_airport string, origin_city string, origin_traffic_level string,
     destination_airport string, destination_city string, destination_traffic_level string,
     scheduled_departure string, scheduled_arrival string,
@@ -37,17 +37,25 @@ LIVE_FLIGHT_RAW = """
     departure_delay_minutes string, arrival_delay_minutes string,
     delay_reason string, is_delayed string, is_cancelled string, status string,
     on_time string, cascade_risk string, reliability_band string,
-    flight_date string, day_of_week string, hour_of_day int, is_weekend boolean,
+    flight_date string, day_of_week string, hour_of_day string, is_weekend string,
     timestamp string, data_source string, api_version string
 """
 
 LIVE_WEATHER_RAW = """
-    obs_id string, airport_code string, airport_city string, valid_time_gmt bigint,
+    obs_id string, airport_code string, airport_city string, valid_time_gmt string,
     observation_time string, wx_phrase string, temp string, precip_hrly string,
     snow_hrly string, wspd string, clds string, rh string, vis string,
     timestamp string, data_source string, api_version string
 """
 
+# Types of the fields that no cleaning rule coerces; unreadable values become null.
+LIVE_TYPES = {
+    "carrier_reliability_score": "double",
+    "hour_of_day": "int",
+    "is_weekend": "boolean",
+    "valid_time_gmt": "bigint",
+}
+
 CRITICAL_FLIGHT_COLUMNS = ("Year", "Month", "DayofMonth", "Origin", "Dest", "UniqueCarrier")
 FLIGHT_KEY = ("Year", "Month", "DayofMonth", "FlightNum", "UniqueCarrier", "Origin", "Dest")
 WEATHER_KEY = ("obs_id", "valid_time_gmt")

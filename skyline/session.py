@@ -16,10 +16,18 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.files.maxPartitionBytes": "128m",
+    # Wide projections past the JIT's method limit run faster outside one generated method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere. All of them can change at run time."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (

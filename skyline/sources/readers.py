@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyline.functions import first_match
-from skyline.schemas import LIVE_FLIGHT_RAW, LIVE_WEATHER_RAW
+from skyline.schemas import LIVE_FLIGHT_RAW, LIVE_TYPES, LIVE_WEATHER_RAW, names
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
@@ -63,60 +63,59 @@ def feed_of(path: Column) -> Column:
     ])
 
 
-def _records(text: Column, key: str, record: str) -> Column:
-    """Records of a JSON document: under the feed's key, under ``data``, a bare list, or the document itself."""
-    is_list = F.ltrim(text).startswith("[")
-    as_list = F.from_json(text, f"array<struct<{record}>>")
-    envelope = F.from_json(text, f"struct<{key}: array<struct<{record}>>, data: array<struct<{record}>>>")
-    has = lambda k: F.array_contains(F.json_object_keys(text), k)
-    alone = F.array(F.from_json(text, f"struct<{record}>"))
-    return (
-        F.when(is_list, as_list)
-        .when(has(key), envelope[key])
-        .when(has("data"), envelope["data"])
-        .when(F.json_object_keys(text).isNotNull(), alone)
-    )
-
-
-def _as_struct_fields(ddl: str) -> str:
+def _struct_fields(ddl: str) -> str:
     return ", ".join(": ".join(part.split()) for part in ddl.replace("\n", " ").split(","))
 
 
-FEEDS = {
-    "flights": ("flights", _as_struct_fields(LIVE_FLIGHT_RAW)),
-    "weather": ("observations", _as_struct_fields(LIVE_WEATHER_RAW)),
-}
+# Key of the record list in each feed's envelope, and the record's fields.
+FEEDS = {"flights": ("flights", LIVE_FLIGHT_RAW), "weather": ("observations", LIVE_WEATHER_RAW)}
 
 
 def parse_envelopes(documents: DataFrame, feed: str, text: str = "value", path: str = "path") -> DataFrame:
     """Documents with their records array and whether the document is usable.
 
-    ``problem`` is null for a readable document; an empty record list is no
-    problem, a missing key or unreadable text is.
+    Records lie under the feed's key, under ``data``, in a bare list, or the
+    document is one record. A list is wrapped in the feed's key, so one parse
+    reads every form. ``problem`` is null for a readable document; an empty
+    record list is no problem, a missing key or unreadable text is.
     """
-    key, record = FEEDS[feed]
+    key, ddl = FEEDS[feed]
+    record, fields = _struct_fields(ddl), names(ddl)
     body = F.col(text)
-    keys = F.json_object_keys(body)
-    wrong = first_match([
-        (F.trim(body) == "", "empty document"),
-        (F.ltrim(body).startswith("[") & F.from_json(body, "array<string>").isNull(), "unreadable JSON"),
-        (~F.ltrim(body).startswith("[") & keys.isNull(), "unreadable JSON"),
-        (F.array_contains(keys, "metadata") & ~F.array_contains(keys, key) & ~F.array_contains(keys, "data"),
-         f"missing '{key}' key"),
+    listed = F.concat(F.lit(f'{{"{key}":'), body, F.lit("}"))
+    shape = (
+        f"struct<metadata: string, {key}: array<struct<{record}>>, data: array<struct<{record}>>, "
+        f"{record}, unreadable: string>"
+    )
+    whole = F.from_json(
+        F.when(F.ltrim(body).startswith("["), listed).otherwise(body), shape, {"columnNameOfCorruptRecord": "unreadable"}
+    )
+    doc = documents.select(body.alias("raw_data"), F.col(path).alias("source_file"), whole.alias("doc"))
+    listing = F.coalesce(f"doc.{key}", "doc.data")
+    problem = first_match([
+        (F.trim("raw_data") == "", "empty document"),
+        (F.col("doc").isNull() | F.col("doc.unreadable").isNotNull(), "unreadable JSON"),
+        (listing.isNull() & F.col("doc.metadata").isNotNull(), f"missing '{key}' key"),
     ])
-    return documents.select(
-        F.col(path).alias("source_file"),
-        F.concat_ws("#", F.col(path), F.hex(F.xxhash64(body))).alias("document"),
-        body.alias("raw_data"), wrong.alias("problem"), _records(body, key, record).alias("records"),
+    alone = F.array(F.struct(*[F.col(f"doc.{c}").alias(c) for c in fields]))
+    return doc.select(
+        "source_file",
+        F.concat_ws("#", "source_file", F.hex(F.xxhash64("raw_data"))).alias("document"),
+        "raw_data", problem.alias("problem"),
+        F.when(problem.isNull(), F.coalesce(listing, alone)).alias("records"),
     )
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
-    """One row per record of the usable documents, with its document and position as arrival order."""
-    rows = parsed.filter("problem IS NULL").select(
-        "source_file", "document", F.posexplode("records").alias("arrival", "r")
-    )
-    return rows.select("r.*", "source_file", "document", "arrival")
+    """One row per record of the usable documents, with its document and position as arrival order.
+
+    Unusable documents have no records. They are dropped after the explode: a
+    filter in front of it would be pushed below the parse and repeat it.
+    """
+    rows = parsed.select(
+        "source_file", "document", F.posexplode_outer("records").alias("arrival", "r")
+    ).filter("arrival IS NOT NULL").select("r.*", "source_file", "document", "arrival")
+    return rows.withColumns({c: F.col(c).try_cast(t) for c, t in LIVE_TYPES.items() if c in rows.columns})
 
 
 def read_envelopes(spark: SparkSession, path: str, feed: str, *, per_line: bool = False) -> DataFrame:
