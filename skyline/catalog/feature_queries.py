@@ -27,7 +27,7 @@ def features(spark: SparkSession, root: str, *parts: str, **options) -> DataFram
         feed.flights(spark, root),
         feed.holidays(spark, root) if "holidays" in parts else None,
         feed.weather(spark, root) if "weather" in parts else None,
-        parts, SAMPLE_CLASSES, tie_break=UID, **options,
+        parts, size_classes=SAMPLE_CLASSES, tie_break=UID, **options,
     )
 
 

@@ -27,10 +27,13 @@ def region_of(airport: Column | str) -> Column:
     return first_match([(airport.isin(*codes.split()), name) for name, codes in REGIONS.items()], "other")
 
 
-def airport_sizes(flights: DataFrame, classes: Sequence[tuple[int, str]] = SIZE_CLASSES) -> DataFrame:
-    """Departures per origin airport and the size class they earn."""
-    counted = flights.groupBy("Origin").agg(F.count("*").alias("origin_flight_count"))
-    return counted.withColumn("airport_type", band("origin_flight_count", classes, "secondary", op=">"))
+def size_class(classes: Sequence[tuple[int, str]] = SIZE_CLASSES) -> Column:
+    return band("origin_flight_count", classes, "secondary", op=">")
+
+
+def airport_sizes(flights: DataFrame) -> DataFrame:
+    """Departures per origin airport."""
+    return flights.groupBy("Origin").agg(F.count("*").alias("origin_flight_count"))
 
 
 def route_regions(flights: DataFrame) -> DataFrame:
@@ -51,5 +54,7 @@ def location_features(
     sizes: DataFrame | None = None,
     classes: Sequence[tuple[int, str]] = SIZE_CLASSES,
 ) -> DataFrame:
-    sizes = airport_sizes(flights, classes) if sizes is None else sizes
-    return route_regions(attach(flights, sizes, ["Origin"]))
+    """Airport size, regions and route type. Departure counts already present are used."""
+    if "origin_flight_count" not in flights.columns:
+        flights = attach(flights, airport_sizes(flights) if sizes is None else sizes, ["Origin"])
+    return route_regions(flights.withColumn("airport_type", size_class(classes)))

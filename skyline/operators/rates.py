@@ -31,11 +31,12 @@ def group_rate(flights: DataFrame, name: str, keys: Sequence[str] | None = None)
     return attach(flights, rate, keys)
 
 
-def rate_profile(flights: DataFrame) -> DataFrame:
+def rate_profile(flights: DataFrame, *, departures: bool = False) -> DataFrame:
     """All four rates for every (carrier, route, month, weekday) that occurs.
 
     Flights collapse to these keys map-side first; the coarser rates are then
     sums over that small profile, so no flight row is shuffled by a hot carrier.
+    ``departures`` adds the flight count of the origin, which needs the same cells.
     """
     cells = flights.groupBy(*PROFILE_KEYS).agg(
         F.sum("is_delayed").alias("late"), F.count("*").alias("n")
@@ -46,6 +47,7 @@ def rate_profile(flights: DataFrame) -> DataFrame:
             ratio(F.sum("late").over(Window.partitionBy(*keys)), F.sum("n").over(Window.partitionBy(*keys))).alias(name)
             for name, keys in RATES.items()
         ],
+        *([F.sum("n").over(Window.partitionBy("Origin")).alias("origin_flight_count")] if departures else []),
     )
 
 

@@ -1,14 +1,15 @@
 """How a delay travels along one aircraft's day.
 
 An aircraft-day is the set of legs with one tail number and date, in scheduled
-departure order. Rows without a tail number share one aircraft-day per date, so
-that group can be arbitrarily large; it is windowed minute by minute and the
-pieces are stitched through a summary, which gives the same values as one window.
+departure order. Rows without a tail number share one aircraft-day per date, and
+so do rows with a placeholder tail, so such a group can be arbitrarily large; it
+is windowed minute by minute and the pieces are stitched through a summary,
+which gives the same values as one window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,70 +28,117 @@ def clock_columns(flights: DataFrame) -> DataFrame:
     })
 
 
-def aircraft_day_links(
-    flights: DataFrame,
-    tie_break: Sequence[str] = TIE_BREAK,
-    spread: Column | None = None,
+def busy_tails(flights: DataFrame, tail: str = "TailNum", enough: int = 1_000_000, most: int = 1000) -> Column:
+    """The most common tail numbers with more than ``enough`` rows, as one array.
+
+    Placeholder tails can be as large as real fleets. A tail outside the array
+    has at most ``enough`` rows or, with ``most`` larger ones before it, at most
+    one row in ``most`` of the table.
+    """
+    counts = flights.filter(F.col(tail).isNotNull()).groupBy(tail).agg(F.count("*").alias("n"))
+    largest = counts.filter(F.col("n") > enough).orderBy(F.desc("n"), F.asc(tail)).limit(most)
+    return largest.select(F.collect_list(tail).alias("tails")).scalar()
+
+
+def large_days(flights: DataFrame, tail: str = "TailNum", **limits: int) -> Column:
+    """Rows whose aircraft-day may be too large for one task: no tail, or a very common one."""
+    return F.col(tail).isNull() | F.array_contains(busy_tails(flights, tail, **limits), F.col(tail))
+
+
+def link_rows(
+    df: DataFrame,
+    group: Mapping[str, Column],
+    piece: Column,
+    order: Sequence[str],
+    spread: Column,
+    behind: Sequence[str],
+    ahead: Sequence[str],
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Neighbouring legs and running totals within each aircraft-day.
+    """Previous and next row of each row in its group, and running totals.
+
+    Adds struct ``__prev`` with the ``behind`` columns of the row before, struct
+    ``__next`` with the ``ahead`` columns of the row after, and each total up to
+    and with the row. ``group`` holds key expressions that are never null.
 
-    ``spread`` marks the aircraft-days that are too large for one task; any
-    choice gives the same result. All rows take one exchange on
-    (tail, date, piece), which the stitching join reuses.
+    Groups marked by ``spread`` are windowed in pieces, one per value of
+    ``piece``, which must rise with the first order column and never be null. One
+    summary row per piece carries the values across. Any marking gives the same
+    result; all rows take one exchange on (group, piece), and the join that
+    brings the carried values reuses it.
     """
-    df = clock_columns(with_flight_date(flights))
-    spread = F.col("TailNum").isNull() if spread is None else spread
-    late, dep = F.col("DepDelay") > 15, F.col("DepDelay")
-    df = df.withColumns({
-        "is_delayed_flight": F.when(late, 1).otherwise(0),
-        "__lost": F.when(dep > 0, dep).otherwise(F.lit(0.0)),
-        "__spread": F.coalesce(spread, F.lit(False)),
-        # Partition keys without nulls, so that the join below is a plain equality.
-        "__tail": F.coalesce(F.concat(F.lit("t"), F.col("TailNum").cast("string")), F.lit("")),
-        "__day": F.coalesce(F.unix_date("flight_date"), F.lit(-(2**31) + 1)),
-    }).withColumns({
-        "__piece": F.when(F.col("__spread"), F.coalesce(F.col("crs_dep_time_int"), F.lit(-1))).otherwise(-2),
-    })
-    piece = ["__tail", "__day", "__piece"]
-    order = ["crs_dep_time_int", *tie_break]
-    last_leg = F.struct("ArrDelay", "Dest", "crs_arr_time_int")
+    totals = dict(totals or {})
+    keys = [f"__g_{name}" for name in group]
+    df = df.withColumns({**dict(zip(keys, group.values())), **totals, "__spread": F.coalesce(spread, F.lit(False))})
+    df = df.withColumn("__piece", F.when(F.col("__spread"), piece))
+    df = df.withColumn("__piece_key", F.coalesce(F.col("__piece").cast("string"), F.lit("")))
+    part = [*keys, "__piece_key"]
     rank = F.struct(*[F.col(c) for c in order])
 
-    # One row per clock minute of each spread aircraft-day.
-    summary = df.filter("__spread").groupBy(*piece).agg(
-        F.min_by(F.struct("DepDelay"), rank).alias("head"),
-        F.max_by(last_leg, rank).alias("tail_leg"),
-        F.sum("is_delayed_flight").alias("late"),
-        F.sum("__lost").alias("lost"),
+    summary = df.filter("__spread").groupBy(*part).agg(
+        F.min("__piece").alias("piece"),
+        F.min_by(F.struct(*ahead), rank).alias("first"),
+        F.max_by(F.struct(*behind), rank).alias("last"),
+        *[F.sum(t).alias(t) for t in totals],
     )
-    across = Window.partitionBy("__tail", "__day").orderBy("__piece")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*keys).orderBy("piece")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *piece,
-        F.lag("tail_leg").over(across).alias("__prev"),
-        F.lead("head").over(across).alias("__next"),
-        F.coalesce(F.sum("late").over(before), F.lit(0)).alias("__late0"),
-        F.coalesce(F.sum("lost").over(before), F.lit(0.0)).alias("__lost0"),
+        *part,
+        F.lag("last").over(across).alias("__last"), F.lead("first").over(across).alias("__first"),
+        *[F.sum(t).over(earlier).alias(f"__{t}_before") for t in totals],
     )
 
-    w = Window.partitionBy(*piece).orderBy(*[F.asc_nulls_first(c) for c in order])
+    w = Window.partitionBy(*part).orderBy(*[F.asc_nulls_first(c) for c in order])
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     linked = df.withColumns({
-        "__p": F.lag(last_leg).over(w),
-        "__n": F.lead(F.struct("DepDelay")).over(w),
-        "__late": F.sum("is_delayed_flight").over(so_far),
-        "__lostsum": F.sum("__lost").over(so_far),
-    }).join(carry, piece, "left")
-    prev, nxt = F.coalesce("__p", "__prev"), F.coalesce("__n", "__next")
+        "__prev": F.lag(F.struct(*behind)).over(w),
+        "__next": F.lead(F.struct(*ahead)).over(w),
+        **{t: F.sum(t).over(so_far) for t in totals},
+    }).join(carry, part, "left")
     done = linked.withColumns({
-        "prior_flight_arr_delay": prev["ArrDelay"],
-        "prior_flight_destination": prev["Dest"],
-        "prior_flight_crs_arr_time": prev["crs_arr_time_int"],
-        "cascade_depth": F.col("__late") + F.coalesce(F.col("__late0"), F.lit(0)),
-        "daily_cumulative_delay": F.col("__lostsum") + F.coalesce(F.col("__lost0"), F.lit(0.0)),
-        "next_dep_delay_same_tail": nxt["DepDelay"],
+        "__prev": F.coalesce("__prev", "__last"),
+        "__next": F.coalesce("__next", "__first"),
+        **{t: F.when(F.col(f"__{t}_before").isNull(), F.col(t)).otherwise(F.col(t) + F.col(f"__{t}_before")) for t in totals},
     })
-    return done.drop(*[c for c in done.columns if c.startswith("__")])
+    return done.drop(*part, "__piece", "__spread", "__last", "__first", *[f"__{t}_before" for t in totals])
+
+
+def aircraft_day_links(
+    flights: DataFrame,
+    tie_break: Sequence[str] = TIE_BREAK,
+    spread: Column | None = None,
+) -> DataFrame:
+    """Neighbouring legs and running totals within each aircraft-day.
+
+    ``spread`` marks rows whose aircraft-day is split by clock minute; by default
+    those without a tail number or with one that is unusually common.
+    """
+    df = clock_columns(with_flight_date(flights))
+    late, dep = F.col("DepDelay") > 15, F.col("DepDelay")
+    df = df.withColumn("is_delayed_flight", F.when(late, 1).otherwise(0))
+    linked = link_rows(
+        df,
+        group={
+            "tail": F.coalesce(F.concat(F.lit("t"), F.col("TailNum").cast("string")), F.lit("")),
+            "day": F.coalesce(F.unix_date("flight_date"), F.lit(-(2**31) + 1)),
+        },
+        piece=F.coalesce(F.col("crs_dep_time_int"), F.lit(-1)),
+        order=["crs_dep_time_int", *tie_break],
+        spread=large_days(flights) if spread is None else spread,
+        behind=("ArrDelay", "Dest", "crs_arr_time_int"),
+        ahead=("DepDelay",),
+        totals={
+            "cascade_depth": F.when(late, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")),
+            "daily_cumulative_delay": F.when(dep > 0, dep).otherwise(F.lit(0.0)),
+        },
+    )
+    return linked.withColumns({
+        "prior_flight_arr_delay": F.col("__prev.ArrDelay"),
+        "prior_flight_destination": F.col("__prev.Dest"),
+        "prior_flight_crs_arr_time": F.col("__prev.crs_arr_time_int"),
+        "next_dep_delay_same_tail": F.col("__next.DepDelay"),
+    }).drop("__prev", "__next")
 
 
 def turnaround(df: DataFrame, mode: str = "exact") -> DataFrame:

@@ -94,10 +94,8 @@ def run_gold(
     if weather is not None:
         weather = usable_observations(weather)
 
-    profiles = store_profiles(
-        build_profiles(flights, holiday, weather, ALL, size_classes), f"{gold}/profiles"
-    )
-    features = flight_features(flights, profiles, ALL, tie_break).withColumns({
+    profiles = store_profiles(build_profiles(flights, holiday, weather), f"{gold}/profiles")
+    features = flight_features(flights, profiles, ALL, size_classes, tie_break).withColumns({
         "feature_eng_timestamp": F.current_timestamp(), "target_layer": F.lit("gold"),
     })
     written = {"flight_features": write_table(features, gold, "flight_features", ("Year", "Month"))}

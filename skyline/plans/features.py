@@ -35,27 +35,32 @@ def build_profiles(
     holidays: DataFrame | None = None,
     weather: DataFrame | None = None,
     parts: Iterable[str] = ALL,
-    size_classes: Sequence[tuple[int, str]] = SIZE_CLASSES,
     accuracy: int | None = None,
 ) -> dict[str, DataFrame]:
     """Group-level tables that enrichment looks up, each from the plain flights.
 
     They depend on the flights only, never on one another, so they can be
     stored and read back: a stored profile is broadcast if its files are small.
+    Parts whose keys contain one another share a profile, which saves the flights
+    a join: airport departures ride on the rates, holidays on the carrier-days.
     """
     wanted = with_needs(parts)
     dated = with_flight_date(flights)
+    near = None
+    if "holidays" in wanted and holidays is not None:
+        near = holiday_distances(dated.select("flight_date"), holidays)
     profiles: dict[str, DataFrame] = {}
     if "rates" in wanted:
-        profiles["rates"] = rate_profile(flag_delays(flights))
+        profiles["rates"] = rate_profile(flag_delays(flights), departures="location" in wanted)
+    elif "location" in wanted:
+        profiles["location"] = airport_sizes(flights)
     if "rolling" in wanted:
-        profiles["rolling"] = carrier_days(dated)
-    if "location" in wanted:
-        profiles["location"] = airport_sizes(flights, size_classes)
+        days = carrier_days(dated)
+        profiles["rolling"] = days if near is None else attach(days, near, ["flight_date"])
+    elif near is not None:
+        profiles["holidays"] = near
     if "buffers" in wanted:
         profiles["buffers"] = slot_percentiles(with_hour(flights), accuracy)
-    if "holidays" in wanted and holidays is not None:
-        profiles["holidays"] = holiday_distances(dated.select("flight_date"), holidays)
     if "weather" in wanted and weather is not None:
         profiles["weather"] = hourly_weather(weather)
     return profiles
@@ -65,6 +70,7 @@ def flight_features(
     flights: DataFrame,
     profiles: Mapping[str, DataFrame],
     parts: Iterable[str] = ALL,
+    size_classes: Sequence[tuple[int, str]] = SIZE_CLASSES,
     tie_break: Sequence[str] = TIE_BREAK,
     turnaround_mode: str = "exact",
     spread: Column | None = None,
@@ -81,14 +87,16 @@ def flight_features(
     if "calendar" in wanted:
         df = calendar_features(df)
     if "location" in wanted:
-        df = location_features(df, profiles["location"])
+        df = location_features(df, profiles.get("location"), size_classes)
     if "buffers" in wanted:
         df = buffer_features(df, profiles["buffers"])
     if "holidays" in wanted:
-        near = profiles.get("holidays")
-        df = no_holidays(df) if near is None else attach(df, near, ["flight_date"]).withColumn(
-            "is_holiday", F.coalesce("is_holiday", F.lit(0))
-        )
+        if "holidays" in profiles:
+            df = attach(df, profiles["holidays"], ["flight_date"])
+        if "is_holiday" in df.columns:
+            df = df.withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
+        else:
+            df = no_holidays(df)
     if "weather" in wanted:
         df = attach_weather(df, profiles.get("weather"))
     if "events" in wanted:
@@ -103,10 +111,10 @@ def features_of(
     holidays: DataFrame | None = None,
     weather: DataFrame | None = None,
     parts: Iterable[str] = ALL,
-    size_classes: Sequence[tuple[int, str]] = SIZE_CLASSES,
+    accuracy: int | None = None,
     **options,
 ) -> DataFrame:
     """Profiles and enrichment in one lazy plan."""
     parts = tuple(parts)
-    profiles = build_profiles(flights, holidays, weather, parts, size_classes, options.pop("accuracy", None))
+    profiles = build_profiles(flights, holidays, weather, parts, accuracy)
     return flight_features(flights, profiles, parts, **options)

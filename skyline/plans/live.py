@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from skyline.functions import (
 )
 from skyline.operators.buffers import score_band
 from skyline.operators.calendar import SEASON_MONTHS
+from skyline.operators.rotation import large_days, link_rows
 
 ROUTE = ("origin_airport", "destination_airport")
 
@@ -370,11 +371,16 @@ def seasonal_risk(
     return head.drop("carrier")
 
 
-def turnarounds(live: DataFrame, as_of: dt.datetime, days: float = 90, tie_break=("flight_number", "origin_airport", "destination_airport")) -> DataFrame:
+def turnarounds(
+    live: DataFrame, as_of: dt.datetime, days: float = 90,
+    tie_break: Sequence[str] = ("flight_number", "origin_airport", "destination_airport"),
+    spread: Column | None = None,
+) -> DataFrame:
     """Consecutive legs of one aircraft through the same airport on one day.
 
-    The next leg comes from ``lead`` over the aircraft-day, one shuffle in
-    place of a self-join on the sequence number.
+    The next leg is the following row of the aircraft-day, one shuffle in place
+    of a self-join on the sequence number. Days of unusually common tail numbers
+    are split by scheduled minute.
     """
     legs = is_recent(live, as_of, days).filter(
         (F.col("tail_number") != "") & ~F.col("is_cancelled")
@@ -382,12 +388,18 @@ def turnarounds(live: DataFrame, as_of: dt.datetime, days: float = 90, tie_break
         "landed": clock_text_minutes("actual_arrival_time"),
         "left": clock_text_minutes("actual_departure_time"),
         "due": clock_text_minutes("scheduled_departure_time"),
+        # Unknown schedules come last.
+        "slot": F.coalesce("scheduled_departure_time", F.lit("~")),
     })
-    day = Window.partitionBy("tail_number", "flight_date").orderBy(
-        F.asc_nulls_last("scheduled_departure_time"), *_up(*tie_break)
-    )
-    following = F.lead(F.struct("origin_airport", "left", "due", "departure_delay_minutes", "cascade_risk")).over(day)
-    pairs = legs.withColumn("nxt", following).filter(
+    pairs = link_rows(
+        legs,
+        group={"tail": F.col("tail_number"), "day": F.coalesce("flight_date", F.lit(""))},
+        piece=F.col("slot"),
+        order=["slot", *tie_break],
+        spread=large_days(legs, "tail_number") if spread is None else spread,
+        behind=("landed",),
+        ahead=("origin_airport", "left", "due", "departure_delay_minutes", "cascade_risk"),
+    ).withColumnRenamed("__next", "nxt").filter(
         (F.col("nxt.origin_airport") == F.col("destination_airport"))
         & F.col("landed").isNotNull() & F.col("nxt.left").isNotNull()
     )

@@ -75,6 +75,16 @@ def test_splitting_groups_changes_nothing(spark, drawn):
     assert whole == pieces == usual
 
 
+def test_common_tails_are_split(make):
+    legs = make([leg("N1", 800, 900, "A", "B", 20.0, 1.0, n) for n in range(5)]
+                + [leg("N2", 800, 900, "A", "B", 20.0, 1.0, 9), leg(None, 800, 900, "A", "B", 20.0, 1.0, 10)], SCHEMA)
+    large = lambda **limits: sorted(
+        r["FlightNum"] for r in legs.filter(rotation.large_days(legs, **limits)).collect())
+    assert large() == [10]
+    assert large(enough=3) == [0, 1, 2, 3, 4, 10]
+    assert large(enough=0, most=1) == [0, 1, 2, 3, 4, 10]
+
+
 def test_depth_never_falls(spark, root):
     from pyspark.sql import Window
 
@@ -99,6 +109,6 @@ def test_only_one_exchange_for_all_flights(spark, root, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__tail" in line]
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__g_tail" in line]
     # one for the flights, the rest belongs to the per-minute summary of unknown tails
     assert len([line for line in wide if "__piece" in line]) <= 3 and len(wide) <= 4

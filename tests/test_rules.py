@@ -135,7 +135,7 @@ def test_regions_and_route_types(make):
 
 def test_airport_sizes(make):
     flights = make([("A",)] * 4 + [("B",)] * 2, "Origin string")
-    sizes = geography.airport_sizes(flights, ((3, "big"), (1, "small")))
+    sizes = geography.airport_sizes(flights).withColumn("airport_type", geography.size_class(((3, "big"), (1, "small"))))
     assert sorted(values(sizes, "Origin", "airport_type")) == [("A", "big"), ("B", "small")]
 
 
