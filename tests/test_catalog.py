@@ -1,19 +1,26 @@
 """Every registered query against its SQL, on the whole sample tables."""
 
 import pytest
-from compare import differences
+from compare import connect, differences
 
 from skyline.catalog import load
 
 QUERIES, ORACLES = load()
 
 
+# Reports whose least group size leaves nothing of the smallest tables.
+LARGER = {"h06_where_hubs", "w04_why_carriers", "l02_congestion_patterns", "l09_reliability_scores"}
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(name, spark, root, duck):
+    if name in LARGER:
+        root = root.replace("sf0.001", "sf0.01")
+        duck = connect(root)
     df = QUERIES[name](spark, root)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
