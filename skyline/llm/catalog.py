@@ -4,23 +4,183 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyline.llm import order_minhash
+from skyline.llm import (
+    decontamination, hmm, language_id, line_rules, mixing, order_minhash, quality_ranker, secret_scan, toxicity, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The rules of the url query.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-def documents(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/documents.parquet")
+
+def _domain() -> Column:
+    """Sources in four domains by number."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1)
+    place = F.when(number != "", F.try_element_at(F.array(*map(F.lit, ("web", "books", "papers", "code"))), F.pmod(number.cast("int"), F.lit(4)) + 1))
+    return F.coalesce(place, F.lit("other"))
+
+
+def production_mix() -> mixing.Mix:
+    return mixing.Mix(
+        domain=_domain(),
+        domain_weights={"web": 40, "books": 30, "papers": 20, "code": 8, "other": 2},
+        lang_weights={"en": 50, "de": 20, "fr": 20, "es": 10},
+    )
+
+
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{name}.parquet")
+
+
+def op1_hidden_markov_model(spark: SparkSession, root: str) -> DataFrame:
+    return hmm.score(table(spark, root, "documents"))
+
+
+def op2_source_mixing(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mixed(docs, production_mix()).drop("text")
+
+
+def op3_string_tiling(spark: SparkSession, root: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+def op4_quality_ranking(spark: SparkSession, root: str) -> DataFrame:
+    return quality_ranker.score(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+def op5_language_id(spark: SparkSession, root: str) -> DataFrame:
+    return language_id.identify(table(spark, root, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.score(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+def op7_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    return url_filter.judge(table(spark, root, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, root, "documents"))
+    spans = F.coalesce("spans", F.array().cast("array<struct<begin:bigint,place:bigint,kind:string,end:bigint>>"))
+    base = F.filter("spans", lambda x: x["place"] <= 3)
+    joined = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["begin"].cast("string"), x["end"].cast("string"))), ",")
+    number = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint")
+    return found.select("doc_id", spans.alias("spans")).select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_line_rules(spark: SparkSession, root: str) -> DataFrame:
+    return line_rules.clean(table(spark, root, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars"
+    )
 
 
 def op10_order_minhash(spark: SparkSession, root: str) -> DataFrame:
-    return order_minhash.near_duplicates(documents(spark, root))
+    return order_minhash.near_duplicates(table(spark, root, "documents"))
+
+
+# Budgets by the same rules, level by level; then the running sum of tokens in each leaf's order.
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+    coalesce(['web', 'books', 'papers', 'code'][try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4 + 1], 'other') AS domain
+  FROM documents
+), leaf AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * 2 AS room, 1::HUGEINT AS weight
+  FROM docs GROUP BY ALL
+), d0 AS (
+  SELECT domain, sum(room)::HUGEINT AS room,
+    (CASE domain WHEN 'web' THEN 40 WHEN 'books' THEN 30 WHEN 'papers' THEN 20 WHEN 'code' THEN 8 ELSE 2 END)::HUGEINT AS weight,
+    (SELECT sum(tokens)::HUGEINT * 80 // 100 FROM leaf) AS budget
+  FROM leaf GROUP BY domain
+), d1 AS (
+  SELECT *, room * sum(weight) OVER (ORDER BY room / weight, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= greatest(budget - coalesce(sum(room) OVER (ORDER BY room / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) * weight AS is_full
+  FROM d0
+), d2 AS (
+  SELECT domain, CASE WHEN is_full THEN room ELSE (budget - coalesce(sum(room) FILTER (is_full) OVER (), 0)) * weight // sum(weight) FILTER (NOT is_full) OVER () END::HUGEINT AS budget
+  FROM d1
+), l0 AS (
+  SELECT domain, lang, sum(room)::HUGEINT AS room, (CASE lang WHEN 'en' THEN 50 WHEN 'de' THEN 20 WHEN 'fr' THEN 20 WHEN 'es' THEN 10 ELSE 1 END)::HUGEINT AS weight, any_value(budget) AS budget
+  FROM leaf JOIN d2 USING (domain) GROUP BY domain, lang
+), l1 AS (
+  SELECT *, room * sum(weight) OVER (PARTITION BY domain ORDER BY room / weight, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= greatest(budget - coalesce(sum(room) OVER (PARTITION BY domain ORDER BY room / weight, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) * weight AS is_full
+  FROM l0
+), l2 AS (
+  SELECT domain, lang, CASE WHEN is_full THEN room ELSE (budget - coalesce(sum(room) FILTER (is_full) OVER (PARTITION BY domain), 0)) * weight // sum(weight) FILTER (NOT is_full) OVER (PARTITION BY domain) END::HUGEINT AS budget
+  FROM l1
+), s1 AS (
+  SELECT domain, lang, source, tokens, room, weight, budget,
+    room * sum(weight) OVER (PARTITION BY domain, lang ORDER BY room / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= greatest(budget - coalesce(sum(room) OVER (PARTITION BY domain, lang ORDER BY room / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) * weight AS is_full
+  FROM leaf JOIN l2 USING (domain, lang)
+), s2 AS (
+  SELECT domain, lang, source, tokens,
+    CASE WHEN is_full THEN room ELSE (budget - coalesce(sum(room) FILTER (is_full) OVER (PARTITION BY domain, lang), 0)) * weight // sum(weight) FILTER (NOT is_full) OVER (PARTITION BY domain, lang) END::HUGEINT AS budget
+  FROM s1
+), plan AS (
+  SELECT *, coalesce(budget // nullif(tokens, 0), 0) AS epochs, budget - coalesce(budget // nullif(tokens, 0), 0) * tokens AS rest FROM s2
+), ranked AS (
+  SELECT d.*, epochs, rest, sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source ORDER BY md5('7|' || epochs || '|' || coalesce(doc_id::VARCHAR, '')) RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM docs d JOIN plan p ON d.domain = p.domain AND d.lang = p.lang AND d.source = p.source
+)
+SELECT doc_id, lang, source, domain, n_tokens, (epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM ranked WHERE epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END > 0
+"""
+
+# Aliases by a recursive walk over links; the spelling of a url is folded as in the operator.
+OP7_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, url, html, instr(coalesce(url, ''), '://') > 0 AS has,
+    CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), seen AS (
+  SELECT page_id, url, html, has, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '') AS query
+  FROM parts
+), ruled AS (
+  SELECT *, CASE WHEN has THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS node,
+    CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM seen
+), decided AS (
+  SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS action FROM ruled
+), targets AS (
+  SELECT node AS a, regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS target FROM decided
+  UNION ALL SELECT node, regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*([^"''\s>;]+)', 1) FROM decided
+), aimed AS (
+  SELECT a, target, substr(target, instr(target, '://') + 3) AS rest FROM targets WHERE a IS NOT NULL AND instr(target, '://') > 0
+), split AS (
+  SELECT a, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '') AS query FROM aimed
+), links AS (
+  SELECT a, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS b FROM split
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT DISTINCT node AS origin, node AS other FROM decided WHERE node IS NOT NULL
+  UNION SELECT r.origin, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), inherited AS (
+  SELECT origin, min(action) AS decision FROM reach JOIN decided ON other = node WHERE action IS NOT NULL GROUP BY origin
+)
+SELECT page_id, host, path, rule, coalesce(action, decision, 'allow') AS verdict FROM decided LEFT JOIN inherited ON node = origin
+"""
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    queries = {
-        "op10_order_minhash": op10_order_minhash,
-    }
-    return queries, {}
+    queries = (
+        op1_hidden_markov_model, op2_source_mixing, op3_string_tiling, op4_quality_ranking, op5_language_id,
+        op6_toxicity, op7_url_filter, op8_secret_scan, op9_line_rules, op10_order_minhash,
+    )
+    return {q.__name__: q for q in queries}, {"op2_source_mixing": OP2_SQL, "op7_url_filter": OP7_SQL}

@@ -43,7 +43,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> WIDE(31))
 
 
-def _power(kind: str, count: int) -> np.ndarray:
+def powers(kind: str, count: int) -> np.ndarray:
+    """The first powers of the base ("up") or of its inverse ("down")."""
     if len(_powers[kind]) < count:
         factor = BASE if kind == "up" else pow(BASE, -1, 1 << 64)
         grown = np.full(max(count, SPAN + 64), factor, WIDE)
@@ -73,8 +74,8 @@ def _cut(span: np.ndarray, table: np.ndarray, at: int) -> int:
     return len(span)
 
 
-def _span(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of a span; ``edges`` are the offsets of its rows."""
+def _span(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of a span; ``edges`` are the offsets of its rows."""
     inside = values != 0
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -85,12 +86,21 @@ def _span(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last[ends] = inside[ends]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     sums = np.zeros(len(values) + 1, WIDE)
-    np.cumsum(values * _power("up", len(values)), out=sums[1:])
-    return begin, mix((sums[end] - sums[begin]) * _power("down", len(values) + 1)[begin])
+    np.cumsum(values * powers("up", len(values)), out=sums[1:])
+    return begin, end, mix((sums[end] - sums[begin]) * powers("down", len(values) + 1)[begin])
 
 
-def word_hashes(column: pa.Array, table: np.ndarray = BLANKS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of rows as (first row, bounds, hashes).
+def _shape(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A value for the first and the last three bytes of each word."""
+    near = [begin, end - 1, np.maximum(end - 2, begin), np.maximum(end - 3, begin)]
+    out = np.zeros(len(begin), WIDE)
+    for at in near:
+        out = (out << WIDE(9)) | values[at]
+    return mix(out)
+
+
+def word_hashes(column: pa.Array, table: np.ndarray = BLANKS, shapes: bool = False) -> Iterator[tuple[int, np.ndarray, ...]]:
+    """Runs of rows as (first row, bounds, hashes), and the words' shapes on request.
 
     Row ``first + i`` has the words ``hashes[bounds[i]:bounds[i + 1]]``. A run
     holds about a megabyte of text; a longer text is hashed in pieces cut
@@ -103,18 +113,24 @@ def word_hashes(column: pa.Array, table: np.ndarray = BLANKS) -> Iterator[tuple[
         high = min(high, rows)
         span = data[offsets[low]:offsets[high]]
         if high == low + 1 and len(span) > SPAN:
-            parts, at = [], 0
+            parts, forms, at = [], [], 0
             while at < len(span):
                 stop = _cut(span, table, min(at + SPAN, len(span)))
                 piece = table[span[at:stop]]
-                parts.append(_span(piece, np.array([0, len(piece)]))[1])
+                begin, end, found = _span(piece, np.array([0, len(piece)]))
+                parts.append(found)
+                if shapes:
+                    forms.append(_shape(piece, begin, end))
                 at = stop
-            hashes = np.concatenate(parts) if parts else np.zeros(0, WIDE)
-            yield low, np.array([0, len(hashes)]), hashes
+            hashes = np.concatenate(parts)
+            run = (low, np.array([0, len(hashes)]), hashes)
+            yield (*run, np.concatenate(forms)) if shapes else run
         else:
             edges = offsets[low:high + 1] - offsets[low]
-            begin, hashes = _span(table[span], edges)
-            yield low, np.searchsorted(begin, edges), hashes
+            values = table[span]
+            begin, end, hashes = _span(values, edges)
+            run = (low, np.searchsorted(begin, edges), hashes)
+            yield (*run, _shape(values, begin, end)) if shapes else run
         low = high
 
 
