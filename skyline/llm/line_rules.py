@@ -24,7 +24,7 @@ SYMBOLS = r"[#*$%&|<>]"
 BOILERPLATE = (
     "all rights reserved", "copyright ©", "privacy policy", "terms of use", "terms of service", "cookie policy", "uses cookies",
     "accept cookies", "enable javascript", "javascript is disabled", "sign up for our newsletter", "subscribe to our newsletter",
-    "click here to", "read more", "share this", "log in to", "page not found", "lorem ipsum", "licensed under", "permission is hereby granted",
+    "click here to", "read more", "share this", "log in to", "page not found", "lorem ipsum",
 )
 
 

@@ -26,7 +26,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 # The weak kinds.
 ACCOUNT = r"""(?i)(?:user|username|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]{3,}|(?<![A-Z0-9])AKIA[A-Z0-9]{8,15}(?![A-Z0-9])"""
-KEY = r"""(?i)(?:pass|pwd|key|auth|bearer|credentials?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}|(?<![0-9A-Za-z])(?=[0-9a-f]*[0-9])[0-9a-f]{16,23}(?![0-9A-Za-z])"""
+KEY = r"""(?i)(?:pass|pwd|key|auth|bearer|credentials?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}|(?<![0-9A-Za-z])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,23}(?![0-9A-Za-z])"""
 ENDPOINT = r"""(?i)https?://[^\s"'<>]{4,}|(?:host|hostname|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9.])"""
 
 #: kind: (pattern, role, strong)
