@@ -7,7 +7,7 @@ no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -74,8 +74,8 @@ def _cut(span: np.ndarray, table: np.ndarray, at: int) -> int:
     return len(span)
 
 
-def _span(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of each word of a span; ``edges`` are the offsets of its rows."""
+def _span(values: np.ndarray, edges: np.ndarray, prefixes: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of a span, and hashes of its first bytes; ``edges`` are the offsets of its rows."""
     inside = values != 0
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -87,7 +87,13 @@ def _span(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     sums = np.zeros(len(values) + 1, WIDE)
     np.cumsum(values * powers("up", len(values)), out=sums[1:])
-    return begin, end, mix((sums[end] - sums[begin]) * powers("down", len(values) + 1)[begin])
+    down = powers("down", len(values) + 1)[begin]
+    heads = np.zeros((len(prefixes), len(begin)), WIDE)
+    for n, size in enumerate(prefixes):
+        longer = np.flatnonzero(end - begin > size)
+        at = begin[longer]
+        heads[n, longer] = mix((sums[at + size] - sums[at]) * down[longer] + WIDE(size))
+    return begin, end, mix((sums[end] - sums[begin]) * down), heads
 
 
 def _shape(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -99,8 +105,13 @@ def _shape(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix(out)
 
 
-def word_hashes(column: pa.Array, table: np.ndarray = BLANKS, shapes: bool = False) -> Iterator[tuple[int, np.ndarray, ...]]:
-    """Runs of rows as (first row, bounds, hashes), and the words' shapes on request.
+def word_hashes(
+    column: pa.Array, table: np.ndarray = BLANKS, shapes: bool = False, prefixes: Sequence[int] = ()
+) -> Iterator[tuple[int, np.ndarray, ...]]:
+    """Runs of rows as (first row, bounds, hashes).
+
+    On request come the words' shapes, or a row of hashes for each number of first bytes
+    in ``prefixes``, 0 for words that are no longer.
 
     Row ``first + i`` has the words ``hashes[bounds[i]:bounds[i + 1]]``. A run
     holds about a megabyte of text; a longer text is hashed in pieces cut
@@ -117,20 +128,19 @@ def word_hashes(column: pa.Array, table: np.ndarray = BLANKS, shapes: bool = Fal
             while at < len(span):
                 stop = _cut(span, table, min(at + SPAN, len(span)))
                 piece = table[span[at:stop]]
-                begin, end, found = _span(piece, np.array([0, len(piece)]))
+                begin, end, found, heads = _span(piece, np.array([0, len(piece)]), prefixes)
                 parts.append(found)
-                if shapes:
-                    forms.append(_shape(piece, begin, end))
+                forms.append(_shape(piece, begin, end) if shapes else heads)
                 at = stop
             hashes = np.concatenate(parts)
             run = (low, np.array([0, len(hashes)]), hashes)
-            yield (*run, np.concatenate(forms)) if shapes else run
+            yield (*run, np.concatenate(forms, axis=-1)) if shapes or prefixes else run
         else:
             edges = offsets[low:high + 1] - offsets[low]
             values = table[span]
-            begin, end, hashes = _span(values, edges)
+            begin, end, hashes, heads = _span(values, edges, prefixes)
             run = (low, np.searchsorted(begin, edges), hashes)
-            yield (*run, _shape(values, begin, end)) if shapes else run
+            yield (*run, _shape(values, begin, end) if shapes else heads) if shapes or prefixes else run
         low = high
 
 

@@ -1,10 +1,11 @@
 """Toxicity by a logistic classifier that identity terms must not sway.
 
-A text's features are which words it holds (letters and digits, A-Z as lower
-case, hashed). The fit adds to the logistic loss a penalty on the square of
-every score change when an identity term of a labelled text is swapped for
-another of its group. Terms that stand more often in toxic texts then gain no
-weight of their own, and neutral mentions of a group are not marked.
+A text's features are the words it holds (letters and digits, A-Z as lower case) and
+their beginnings, each once for being there and once for being there ``OFTEN`` times.
+The fit adds to the logistic loss a penalty on the square of every score change when
+an identity term of a labelled text is swapped for another of its group. Terms that
+stand more often in toxic texts then gain no weight of their own, and neutral
+mentions of a group are not marked.
 """
 
 from __future__ import annotations
@@ -18,15 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyline.llm.hashing import LETTERS, WIDE, word_hashes
-from skyline.llm.shared import arrow_batches, crc_remainder
+from skyline.llm.hashing import BASE, LETTERS, WIDE, word_hashes
+from skyline.llm.shared import arrow_batches, crc_remainder, staged
 
-BUCKETS = 1 << 18
-#: Labelled documents, about, that the fit uses, and words that get a weight.
-SAMPLE, CHOSEN = 12_000, 512
-RIDGE, FAIRNESS = 0.5, 50.0
+PREFIXES = (4, 5, 6, 7)
+OFTEN = 3
+#: Labelled documents, about, that the fit uses, and features that get a weight.
+SAMPLE, CHOSEN = 8_000, 512
+RIDGE, FAIRNESS = 0.3, 50.0
 THRESHOLD = 0.3
 SEED = 23
+#: Slots of the table that tells most words at once that they have no weight.
+SLOTS = 1 << 22
 
 # Terms that may be swapped for each other.
 IDENTITY_TERMS = (
@@ -47,83 +51,84 @@ IDENTITY_TERMS = (
 Groups = tuple[tuple[str, ...], ...]
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & WIDE(BUCKETS - 1)).astype(np.int64)
+def _often(features: np.ndarray) -> np.ndarray:
+    """The feature for being there often, and back."""
+    return features ^ WIDE(BASE)
 
 
-def _term_buckets(groups: Groups) -> list[np.ndarray]:
-    return [_bucket(next(word_hashes(pa.array([" ".join(g)]), LETTERS))[2]) for g in groups if g]
+def _word_features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows as (first row, number of rows, row and feature of every word and beginning of a word)."""
+    for first, bounds, hashes, heads in word_hashes(column, LETTERS, prefixes=PREFIXES):
+        rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        features = np.concatenate([hashes[None, :], heads]).reshape(-1)
+        rows = np.tile(rows, 1 + len(PREFIXES))
+        there = features != 0
+        yield first, len(bounds) - 1, rows[there], features[there]
 
 
-def _present(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """Runs of rows as (first row, rows, buckets, number of rows), each bucket of a row once."""
-    for first, bounds, hashes in word_hashes(column, LETTERS):
-        rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        both = np.unique(rows * BUCKETS + _bucket(hashes))
-        yield first, both // BUCKETS, both % BUCKETS, len(bounds) - 1
+def _distinct(rows: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature of a row once, and the features of those that are there often."""
+    order = np.lexsort((features, rows))
+    rows, features = rows[order], features[order]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (features[1:] != features[:-1])
+    at = np.flatnonzero(fresh)
+    many = np.diff(np.append(at, len(rows))) >= OFTEN
+    rows, features = rows[at], features[at]
+    return np.concatenate([rows, rows[many]]), np.concatenate([features, _often(features[many])])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = [np.zeros(0, np.int32)] * batch.num_rows
-        for first, rows, buckets, count in _present(batch.column("text")):
-            for i, part in enumerate(np.split(buckets, np.searchsorted(rows, np.arange(1, count)))):
-                lists[first + i] = part.astype(np.int32)
+        lists = [np.zeros(0, np.int64)] * batch.num_rows
+        for first, count, rows, features in _word_features(batch.column("text")):
+            rows, features = _distinct(rows, features)
+            order = np.argsort(rows, kind="stable")
+            for i, part in enumerate(np.split(features[order].view(np.int64), np.searchsorted(rows[order], np.arange(1, count)))):
+                lists[first + i] = part
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("label"), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "label", "words"]
+            [batch.column("doc_id"), batch.column("label"), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "label", "features"]
         )
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, terms: list[np.ndarray], fairness: float = FAIRNESS) -> tuple[np.ndarray, np.ndarray, float]:
-    """(buckets, weights, bias) from the word buckets of labelled texts.
+def _term_features(groups: Groups) -> list[list[np.ndarray]]:
+    """For each group, the features of each term, the word itself first."""
+    return [[next(_word_features(pa.array([term])))[3] for term in group] for group in groups]
+
+
+def fit(table: np.ndarray, labels: np.ndarray, columns: np.ndarray, terms: list[list[np.ndarray]], fairness: float = FAIRNESS) -> np.ndarray:
+    """Weights of the columns, and last the bias, from rows of 0 and 1 for labelled texts.
 
-    With one label only, the bias alone says which.
+    ``columns`` are the features of the columns. With one label only, the bias says which.
     """
+    width = len(columns) + 1
+    weights = np.zeros(width)
     if not len(labels) or labels.min() == labels.max():
         rate = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.01
-        return np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate)))
-    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    words = np.concatenate(texts).astype(np.int64)
-    held = np.bincount(words, minlength=BUCKETS).astype(float)
-    toxic = np.bincount(words, labels[rows], minlength=BUCKETS)
-    rate = labels.mean()
-    # how far a word's share of toxic texts lies from the general share, in standard deviations
-    strength = np.abs(toxic - held * rate) / np.sqrt(np.maximum(held, 1) * rate * (1 - rate) + 1e-9)
-    strength[held < 3] = 0
-    chosen = np.argsort(-strength, kind="stable")[:CHOSEN]
-    chosen = chosen[strength[chosen] > 0]
-    every = np.unique(np.concatenate([chosen, *[t for t in terms if len(t)]])) if terms else np.sort(chosen)
-    place = np.full(BUCKETS, -1)
-    place[every] = np.arange(len(every))
-    width = len(every) + 1
-    table = np.zeros((len(texts), width))
-    kept = place[words] >= 0
-    table[rows[kept], place[words[kept]]] = 1
-    table[:, -1] = 1
-    # score changes under swaps are differences of two weights, or one if the other term is there already
+        weights[-1] = np.log(rate / (1 - rate))
+        return weights
+    table = np.column_stack([table, np.ones(len(table))])
+    place = {int(f): i for i, f in enumerate(columns)}
     swaps = np.zeros((width, width))
     for group in terms:
-        own = place[np.unique(group)]
-        for a in own:
-            having = table[:, a] > 0
-            for b in own[own != a]:
-                gains, alone = int((having & (table[:, b] == 0)).sum()), int((having & (table[:, b] > 0)).sum())
-                swaps[a, a] += gains + alone
-                swaps[b, b] += gains
-                swaps[a, b] -= gains
-                swaps[b, a] -= gains
+        for own in group:
+            having = table[:, place[int(own[0])]].sum() if int(own[0]) in place else 0
+            for other in group if having else ():
+                change = np.zeros(width)
+                for sign, features in ((-1, np.setdiff1d(own, other)), (1, np.setdiff1d(other, own))):
+                    change[[place[int(f)] for f in features if int(f) in place]] = sign
+                swaps += having * np.outer(change, change)
     ridge = RIDGE * np.eye(width)
     ridge[-1, -1] = 1e-6
-    weights = np.zeros(width)
     for _ in range(25):
         chance = 1 / (1 + np.exp(-np.clip(table @ weights, -30, 30)))
         slope = table.T @ (chance - labels) + (ridge + fairness * swaps) @ weights
         bend = (table * (chance * (1 - chance))[:, None]).T @ table + ridge + fairness * swaps
         step = np.linalg.solve(bend, slope)
         weights -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-5:
             break
-    return every, weights[:-1], float(weights[-1])
+    return weights
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, held: int = 2, groups: Groups = IDENTITY_TERMS) -> Broadcast:
@@ -140,27 +145,50 @@ def learn(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, held: int = 2
     few = spark.createDataFrame([tuple(r) for r in few.collect()], "doc_id bigint, label int")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most SAMPLE ids are broadcast
-    found = texts.join(F.broadcast(few), "doc_id").mapInArrow(_sampled, "doc_id bigint, label int, words array<int>")
-    rows = sorted(found.collect(), key=lambda r: (r["doc_id"], r["words"]))
-    buckets, weights, bias = fit([np.array(r["words"], np.int64) for r in rows], np.array([r["label"] for r in rows]), _term_buckets(groups))
-    table = np.zeros(BUCKETS, np.float32)
-    table[buckets] = weights
-    return spark.sparkContext.broadcast({"weights": table, "bias": bias})
+    found = staged(texts.join(F.broadcast(few), "doc_id").mapInArrow(_sampled, "doc_id bigint, label int, features array<bigint>"), "sample")
+    total = found.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
+    rate = (total["toxic"] or 0) / max(1, total["n"])
+    each = found.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
+    # how far a feature's share of toxic texts lies from the general share, in standard deviations
+    strength = F.abs(F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate) + 1e-9)
+    chosen = [r["feature"] for r in each.filter("n >= 3").orderBy(strength.desc(), "feature").limit(CHOSEN).collect()]
+    terms = _term_features(groups)
+    named = {int(f) for group in terms for term in group for f in term.view(np.int64)}
+    named &= {r["feature"] for r in each.filter(F.col("feature").isin(sorted(named))).collect()}
+    columns = np.array(sorted({*chosen, *named}), np.int64)
+    kept = spark.createDataFrame([(int(c), i) for i, c in enumerate(columns)], "feature bigint, place int")
+    # rows are numbered by id, equal ids apart by their features
+    rows = found.select("doc_id", "label", F.explode_outer("features").alias("feature"), F.xxhash64("features").alias("text"))
+    held = rows.join(F.broadcast(kept), "feature").groupBy("doc_id", "text").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    held = found.select("doc_id", "label", F.xxhash64("features").alias("text")).distinct().join(held, ["doc_id", "text"], "left")
+    held = sorted(held.collect(), key=lambda r: (r["doc_id"], r["text"]))
+    table = np.zeros((len(held), len(columns)))
+    for i, r in enumerate(held):
+        table[i, r["places"] or []] = 1
+    weights = fit(table, np.array([r["label"] for r in held]), columns.view(WIDE), terms)
+    order = np.argsort(columns.view(WIDE))
+    return spark.sparkContext.broadcast({"features": columns.view(WIDE)[order], "weights": weights[:-1][order], "bias": float(weights[-1])})
 
 
 def scored(docs: DataFrame, model: Broadcast, name: str = "score") -> DataFrame:
     """``docs`` with one more column, the chance that ``text`` is toxic. All columns go through unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = model.value["weights"], model.value["bias"]
+        features, weights, bias = (model.value[x] for x in ("features", "weights", "bias"))
+        slots = np.zeros(SLOTS, bool)
+        for either in (features, _often(features)):
+            slots[(either & WIDE(SLOTS - 1)).astype(np.int64)] = True
+
+        def weight(of: np.ndarray) -> np.ndarray:
+            place = np.minimum(np.searchsorted(features, of), max(0, len(features) - 1))
+            return np.where(features[place] == of, weights[place], 0.0) if len(features) else np.zeros(len(of))
+
         for batch in batches:
             total = np.full(batch.num_rows, bias)
-            for first, bounds, hashes in word_hashes(batch.column("text"), LETTERS):
-                at = _bucket(hashes)
-                heavy = np.flatnonzero(weights[at])
-                rows = np.searchsorted(bounds, heavy, side="right") - 1
-                both = np.unique(rows * BUCKETS + at[heavy])
-                total[first:first + len(bounds) - 1] += np.bincount(both // BUCKETS, weights[both % BUCKETS], len(bounds) - 1)
+            for first, count, rows, own in _word_features(batch.column("text")):
+                some = np.flatnonzero(slots[(own & WIDE(SLOTS - 1)).astype(np.int64)])
+                rows, own = _distinct(rows[some], own[some])
+                total[first:first + count] += np.bincount(rows, weight(own), count)
             chance = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chance)], [*batch.schema.names, name])
 

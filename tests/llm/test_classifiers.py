@@ -103,21 +103,20 @@ def test_toxic_words_on_held_out_rows(docs, spark):
 def test_swapped_identity_terms_do_not_change_the_score():
     """A group named in toxic texts only: the plain fit marks neutral mentions, the regularised one does not."""
     rng = random.Random(2)
-    terms = toxicity._term_buckets((("greens", "blues", "reds"),))
-    bucket = lambda w: int(toxicity._term_buckets(((w,),))[0][0])
-    texts, labels = [], []
-    for i in range(200):
-        own = {bucket(w) for w in text(rng, 20).lower().replace(".", "").split()}
+    group = ("greens", "blues", "reds")
+    terms = toxicity._term_features((group,))
+    others = [f"word{i}" for i in range(30)]
+    names = [*group, "vile", *others]
+    columns = np.array([f[0] for f in toxicity._term_features((tuple(names),))[0]])
+    rows, labels = np.zeros((400, len(names))), np.zeros(400)
+    for i in range(400):
+        rows[i, [names.index(w) for w in rng.sample(others, 6)]] = 1
         if i % 4 == 0:
-            own |= {bucket("greens"), bucket("vile")}
-        texts.append(np.array(sorted(own)))
-        labels.append(int(i % 4 == 0))
-    weight = {}
-    for fairness in (0.0, toxicity.FAIRNESS):
-        buckets, weights, bias = toxicity.fit(texts, np.array(labels), terms, fairness)
-        weight[fairness] = dict(zip(buckets.tolist(), weights)).get(bucket("greens"), 0.0) + bias
-    plain, fair = (1 / (1 + np.exp(-weight[x])) for x in (0.0, toxicity.FAIRNESS))
-    assert plain > toxicity.THRESHOLD > 2 * fair
+            rows[i, [names.index("greens"), names.index("vile")]], labels[i] = 1, 1
+    plain, fair = (toxicity.fit(rows, labels, columns, terms, x) for x in (0.0, toxicity.FAIRNESS))
+    mention = lambda w: 1 / (1 + np.exp(-(w[names.index("greens")] + w[-1])))
+    assert mention(plain) > toxicity.THRESHOLD > 2 * mention(fair)
+    assert 1 / (1 + np.exp(-(fair[names.index("vile")] + fair[-1]))) > 0.7
 
 
 def test_without_labels_or_rows(docs, spark):
