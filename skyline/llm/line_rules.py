@@ -64,17 +64,20 @@ def _repeated(words: Column) -> Column:
 
 
 def _fails(line: Column) -> Column:
-    """Whether a line fails; a line without a word does not."""
-    bars = F.regexp_count(line, F.lit(r"[|»•·]"))
-    marks = F.regexp_count(line, F.lit(SYMBOLS))
-    upper, letters = F.regexp_count(line, F.lit("[A-Z]")), F.regexp_count(line, F.lit("[A-Za-z]"))
-    blanks = F.regexp_count(line, F.lit(BLANK))
-    stop = F.rlike(line, F.lit(r"[.!?…:;]['\"”’)\]]*[\x20\x09-\x0D]*$"))
-    sentence = stop | ((blanks >= 8) & F.rlike(line, F.lit(r"[.!?…]")))
-    phrase = F.rlike(line, F.lit("(?iu)" + "|".join(BOILERPLATE)))
-    return F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")) & (
-        ~sentence | ((bars >= 2) & (bars * 4 >= blanks)) | (marks * 8 >= F.length(line)) | ((letters >= 20) & (upper * 10 >= letters * 6)) | phrase
-    )
+    """Whether a line fails; a line without a word does not.
+
+    Counting is dear, so each count comes after a look for what it cannot do without: of
+    mostly capital letters, two must follow each other with no small one between.
+    """
+    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
+    has = lambda pattern: F.rlike(line, F.lit(pattern))
+    stop = has(r"[.!?…:;]['\"”’)\]]*[\x20\x09-\x0D]*$")
+    sentence = stop | (has(r"[.!?…]") & (count(BLANK) >= 8))
+    navigation = has(r"[|»•·]") & (count(r"[|»•·]") >= 2) & (count(r"[|»•·]") * 4 >= count(BLANK))
+    symbols = has(SYMBOLS) & (count(SYMBOLS) * 8 >= F.length(line))
+    shout = has("[A-Z][^a-z]*[A-Z]") & (count("[A-Za-z]") >= 20) & (count("[A-Z]") * 10 >= count("[A-Za-z]") * 6)
+    phrase = F.rlike(F.lower(line), F.lit("|".join(BOILERPLATE)))
+    return has(r"[^\x20\x09-\x0D]") & (~sentence | navigation | symbols | shout | phrase)
 
 
 def clean(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame:
