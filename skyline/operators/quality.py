@@ -63,10 +63,10 @@ def split_on_nulls(df: DataFrame, critical: Sequence[str] = CRITICAL_FLIGHT_COLU
 
 def with_error(
     df: DataFrame,
-    message: str,
-    kind: str,
+    message: str | Column,
+    kind: str | Column,
     job: str = "skyline",
-    source: str = "unknown",
+    source: str | Column = "unknown",
     at: Column | None = None,
 ) -> DataFrame:
     """Rejected rows with the five error columns, all text."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyline.operators.geography import SIZE_CLASSES
 from skyline.operators.quality import (
-    deduplicate, deduplicate_flights, deduplicate_security, deduplicate_weather, flag_outliers, provenance,
+    CRITICAL_FLIGHT_COLUMNS, any_null, deduplicate, deduplicate_flights, deduplicate_security, deduplicate_weather, flag_outliers, provenance,
     split_on_nulls, validate_schema,
 )
 from skyline.operators.rotation import TIE_BREAK
@@ -19,12 +19,18 @@ from skyline.operators.weather import usable_observations, weather_features
 from skyline.plans.features import ALL, build_profiles, flight_features
 from skyline.plans.marts import cascade_metrics, reliability_metrics, snapshot
 from skyline.schemas import FLIGHT
-from skyline.sources.readers import first_available, read_csv, read_csv_except, read_table
+from skyline.sources.readers import (
+    FILE, PROBLEM, RAW_LINE, first_available, is_missing, read_csv, read_csv_by_header, read_csv_except, read_table,
+)
 from skyline.sources.writers import write_rejects, write_table
 
 
 def clean_history(raw: DataFrame, order: Sequence[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """Clean flights and the rows set aside. Nothing is kept if columns are missing."""
+    """Clean flights and the rows set aside. Nothing is kept if columns are missing.
+
+    Which copy of a flight stays is free unless ``order`` says so; the outlier scores of a
+    plan that is computed twice could then belong to other copies, so jobs give an order.
+    """
     checked, misfit = validate_schema(raw, FLIGHT, "historical_data")
     if checked is None:
         return None, misfit
@@ -33,17 +39,51 @@ def clean_history(raw: DataFrame, order: Sequence[str] | None = None) -> tuple[D
     return provenance(flag_outliers(once, "ArrDelay", "DepDelay"), "historical"), rejected
 
 
-def run_silver(spark: SparkSession, raw: str, silver: str, rejects: str, schemas: dict[str, str]) -> dict[str, str]:
+class Written(dict):
+    """Paths by feed; ``counts`` has (rows kept, rows set aside) of the history."""
+
+    counts: dict[str, tuple[int, int]]
+
+
+def _history(spark: SparkSession, raw: str, silver: str, rejects: str, schema: str, run: str | None) -> tuple[str | None, int, int]:
+    """One parse to a stored table, which the checks, the statistics and the rows read.
+
+    Rows whose file or values do not fit the contract are set aside with the row as it
+    was and its file, then rows without a critical value. What is left is stored once
+    per flight before the outlier scores are taken from it.
+    """
+    parsed = read_table(spark, write_table(read_csv_by_header(spark, f"{raw}/historical/", schema), silver, "_parsed/historical"))
+    misfit = F.col(PROBLEM).isNotNull()
+    kind = F.when(F.col(PROBLEM).startswith("Missing columns"), "schema_validation").otherwise("unreadable_row")
+    broken = any_null(parsed, CRITICAL_FLIGHT_COLUMNS)
+    bad = parsed.filter(misfit | broken)
+    message = F.coalesce(F.col(PROBLEM), F.lit("Null values in critical columns"))
+    write_rejects(
+        bad, f"{rejects}/cleaning_errors", message, F.when(misfit, kind).otherwise("null_validation"), source=F.col(FILE), run=run
+    )
+    fit = parsed.filter(~misfit & ~broken)
+    once = deduplicate_flights(fit, (FILE, RAW_LINE)).drop(PROBLEM, RAW_LINE, FILE)
+    once = read_table(spark, write_table(once, silver, "_parsed/flights"))
+    kept, aside = once.count(), bad.count()
+    if not kept:
+        return None, kept, aside
+    clean = provenance(flag_outliers(once, "ArrDelay", "DepDelay"), "historical")
+    return write_table(clean, silver, "historical", ("Year", "Month")), kept, aside
+
+
+def run_silver(
+    spark: SparkSession, raw: str, silver: str, rejects: str, schemas: dict[str, str], run: str | None = None,
+) -> Written:
     """Clean every raw feed that exists. ``schemas`` has the CSV columns per feed.
 
-    Returns the paths written.
+    Returns the paths written and the history's counts. A named ``run`` that is tried
+    again replaces its rejects.
     """
-    written: dict[str, str] = {}
-    clean, bad = clean_history(read_csv(spark, f"{raw}/historical/", schemas.get("historical", FLIGHT)))
-    kind = "null_validation" if clean is not None else "schema_validation"
-    write_rejects(bad, f"{rejects}/cleaning_errors", "Rows failed the flight checks", kind, source="historical_data")
-    if clean is not None:
-        written["historical"] = write_table(clean, silver, "historical", ("Year", "Month"))
+    written = Written()
+    path, kept, aside = _history(spark, raw, silver, rejects, schemas.get("historical", FLIGHT), run)
+    written.counts = {"historical": (kept, aside)}
+    if path is not None:
+        written["historical"] = path
 
     side = {
         "weather": (f"{raw}/supplemental/weather/", deduplicate_weather),
@@ -54,7 +94,9 @@ def run_silver(spark: SparkSession, raw: str, silver: str, rejects: str, schemas
             continue
         try:
             df = read_csv(spark, path, schemas[feed])
-        except AnalysisException:
+        except AnalysisException as problem:
+            if not is_missing(problem):
+                raise
             continue
         written[feed] = write_table(provenance(once(df), "supplemental", feed), silver, feed)
     if "supplemental" in schemas:

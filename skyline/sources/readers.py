@@ -2,32 +2,91 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyline.functions import first_match
 from skyline.schemas import LIVE_FLIGHT_RAW, LIVE_TYPES, LIVE_WEATHER_RAW, names
 
 
+# Columns that a CSV read adds when asked where rows come from and what is wrong with them.
+PROBLEM, RAW_LINE, FILE = "csv_problem", "csv_line", "csv_file"
+
+
+def is_missing(problem: AnalysisException) -> bool:
+    """Whether an error says that a path does not exist or holds no file; any other is a fault."""
+    return problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: the driver opens each file and reads one line of it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
+        try:
+            first = lines.readLine()
+        finally:
+            lines.close()
+        if first:
+            header = tuple(name.strip() for name in next(csv.reader([first.removeprefix("\ufeff")])))
+            found.setdefault(header, []).append(file)
+    return found
+
+
+def read_csv_by_header(spark: SparkSession, paths: str | Sequence[str], schema: str, *, skip: Sequence[str] = (), recursive: bool = False) -> DataFrame:
+    """Headered CSV files with columns taken by name, whatever their order in each file.
+
+    Gives the columns of ``schema``; a column that a file lacks is null there, and other
+    columns are left out. Three more columns tell what is wrong with a row or its file
+    (null if nothing is), the row as JSON text, and its file. The text NA means missing.
+    Files with equal headers are read together, so the plan grows with the layouts, not with the files.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    wanted = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema).fields]
+    listed = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths).inputFiles()
+    frames = []
+    for header, files in sorted(_headers(spark, [f for f in listed if not any(part in f for part in skip)]).items()):
+        shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))] + [T.StructField("torn", T.StringType())])
+        rows = spark.read.csv(
+            files, schema=shape, header=True, nullValue="NA", mode="PERMISSIVE", columnNameOfCorruptRecord="torn", enforceSchema=True
+        )
+        place = {name: f"c{i}" for i, name in enumerate(header)}
+        absent = [name for name, _ in wanted if name not in place]
+        typed = [(F.col(place[n]).try_cast(t) if n in place else F.lit(None).cast(t)).alias(n) for n, t in wanted]
+        unread = [F.when(F.col(place[n]).isNotNull() & F.col(place[n]).try_cast(t).isNull(), F.lit(n)) for n, t in wanted if n in place and t != "string"]
+        names_unread = F.concat_ws(", ", *unread) if unread else F.lit("")
+        problem = F.lit(f"Missing columns: {', '.join(sorted(absent))}") if absent else first_match([
+            (F.col("torn").isNotNull(), F.lit("Row does not fit the header")),
+            (names_unread != "", F.concat(F.lit("Unreadable values: "), names_unread)),
+        ])
+        line = F.coalesce("torn", F.to_json(F.struct(*[F.col(f"c{i}").alias(name) for i, name in enumerate(header)])))
+        frames.append(rows.select(*typed, problem.alias(PROBLEM), line.alias(RAW_LINE), F.col("_metadata.file_path").alias(FILE)))
+    if not frames:
+        return spark.createDataFrame([], f"{schema}, {PROBLEM} string, {RAW_LINE} string, {FILE} string")
+    return reduce(DataFrame.union, frames)
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
-    """Headered CSV with a declared schema. The text NA means missing.
+    """Headered CSV with a declared schema, columns by name. The text NA means missing.
 
     Declaring the schema saves the inference pass over the data and keeps NA
-    from turning numeric columns into text.
+    from turning numeric columns into text. Unreadable values are null here;
+    ``read_csv_by_header`` tells which they are.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.csv(paths, schema=schema, header=True, nullValue="NA", mode="PERMISSIVE")
+    return read_csv_by_header(spark, paths, schema).drop(PROBLEM, RAW_LINE, FILE)
 
 
 def read_csv_except(spark: SparkSession, path: str, schema: str, skip: Sequence[str] = ("/weather/", "/security/")) -> DataFrame:
     """All CSV files below a folder except those under the named sub-folders."""
-    df = spark.read.csv(path, schema=schema, header=True, nullValue="NA", recursiveFileLookup=True)
-    for part in skip:
-        df = df.filter(~F.col("_metadata.file_path").contains(part))
-    return df
+    return read_csv_by_header(spark, path, schema, skip=skip, recursive=True).drop(PROBLEM, RAW_LINE, FILE)
 
 
 def read_table(spark: SparkSession, path: str, *, merge: bool = False) -> DataFrame:
@@ -40,7 +99,9 @@ def first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame | No
     for path in paths:
         try:
             df = spark.read.parquet(path)
-        except AnalysisException:
+        except AnalysisException as problem:
+            if not is_missing(problem):
+                raise
             continue
         if not df.isEmpty():
             return df

@@ -39,23 +39,32 @@ def write_table(
 def write_rejects(
     rejected: DataFrame,
     root: str,
-    message: str,
-    kind: str,
+    message: str | Column,
+    kind: str | Column,
     job: str = "skyline",
-    source: str = "unknown",
+    source: str | Column = "unknown",
     at: Column | None = None,
+    run: str | None = None,
 ) -> str:
-    """Append rejected rows with their error columns, filed by year, month, day and hour."""
+    """Append rejected rows with their error columns, filed by year, month, day and hour.
+
+    With ``run``, the rows lie in a folder of that name below ``root`` and replace what an
+    earlier try of the same run has left there.
+    """
     moment = F.current_timestamp() if at is None else at
     parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
     marked = with_error(rejected, message, kind, job, source, moment).withColumns({
         f"error_{name}": F.date_format(moment, pattern) for name, pattern in parts.items()
     })
-    marked.write.mode("append").partitionBy(*[f"error_{p}" for p in parts]).parquet(root)
+    writer = marked.write.partitionBy(*[f"error_{p}" for p in parts])
+    if run is None:
+        writer.mode("append").parquet(root)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root.rstrip('/')}/run={run}")
     return root
 
 
 def write_documents(documents: DataFrame, root: str) -> str:
-    """Append JSON documents, one per rejected input."""
-    documents.write.mode("append").json(root)
+    """JSON documents, one per rejected input. A folder belongs to one batch: trying it again replaces its documents."""
+    documents.write.mode("overwrite").json(root)
     return root
