@@ -44,6 +44,61 @@ def test_csv_reads_na_as_null(spark, tmp_path):
     assert sorted(map(tuple, readers.read_csv(spark, str(path), "a int, b string").collect()), key=repr) == [(1, None), (None, "x")]
 
 
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "b.csv").write_text("b,extra,a\ny,9,2\n,8,oops\nq,1\n")
+    (tmp_path / "c.csv").write_text("a\n3\n")
+    (tmp_path / "d.csv").write_text("")
+    rows = readers.read_csv_by_header(spark, str(tmp_path), "a int, b string").collect()
+    got = {(r["a"], r["b"], r[readers.PROBLEM], r[readers.FILE].rsplit("/", 1)[1]) for r in rows}
+    assert got == {(1, "x", None, "a.csv"), (2, "y", None, "b.csv"), (None, None, "Unreadable values: a", "b.csv"),
+                   (None, "q", "Row does not fit the header", "b.csv"), (3, None, "Missing columns: b", "c.csv")}
+    assert any("oops" in r[readers.RAW_LINE] for r in rows)
+
+
+def test_silver_sets_misfits_aside_with_their_file(spark, tmp_path):
+    raw, silver, rejects = (str(tmp_path / n) for n in ("raw", "silver", "rejects"))
+    os.makedirs(f"{raw}/historical")
+    columns = [part.split()[0] for part in FLIGHT.replace("\n", " ").split(",")]
+    values = dict.fromkeys(columns, "1") | {"Origin": "ORD", "Dest": "ATL", "UniqueCarrier": "AA", "ArrDelay": "5", "DepDelay": "4"}
+
+    def put(name, header, *rows):
+        with open(f"{raw}/historical/{name}", "w") as f:
+            f.write("\n".join([",".join(header), *(",".join({**values, **r}[c] for c in header) for r in rows)]) + "\n")
+
+    put("plain.csv", columns, {"FlightNum": "1"}, {"FlightNum": "2", "ArrDelay": "oops"}, {"FlightNum": "3", "Origin": "NA"})
+    put("swapped.csv", columns[::-1], {"FlightNum": "4"}, {"FlightNum": "4"})
+    put("short.csv", [c for c in columns if c != "TaxiIn"], {"FlightNum": "5"})
+    for _ in range(2):
+        done = batch.run_silver(spark, raw, silver, rejects, {}, run="one")
+    assert done.counts == {"historical": (2, 3)}
+    rows = spark.read.parquet(done["historical"]).collect()
+    assert sorted((r["FlightNum"], r["Origin"], r["ArrDelay"]) for r in rows) == [(1, "ORD", 5.0), (4, "ORD", 5.0)]
+    bad = {(r["error_type"], r["source_file"].rsplit("/", 1)[1]) for r in spark.read.parquet(f"{rejects}/cleaning_errors").collect()}
+    assert bad == {("unreadable_row", "plain.csv"), ("null_validation", "plain.csv"), ("schema_validation", "short.csv")}
+    assert spark.read.parquet(f"{rejects}/cleaning_errors").count() == 3
+
+
+def test_two_checkpoints_into_one_sink_keep_all_rows(spark, tmp_path):
+    drop, clean, rejects = (str(tmp_path / n) for n in ("drop", "clean", "rejects"))
+    for name in ("one", "two"):
+        drop_file(f"{drop}/{name}/scraped/flights", "a.json", {"metadata": {}, "flights": [flight(f"f-{name}")]})
+        for _ in range(2):
+            ingest.ingest(spark, f"{drop}/{name}", clean, rejects, str(tmp_path / f"mark-{name}"), "flights").awaitTermination()
+    stored = spark.read.parquet(clean)
+    assert sorted(r["flight_id"] for r in stored.collect()) == ["f-one", "f-two"]
+    merged = spark.read.parquet(ingest.compact(spark, clean, str(tmp_path / "merged")))
+    assert sorted(r["flight_id"] for r in merged.collect()) == ["f-one", "f-two"] and set(merged.columns) == set(stored.columns)
+
+
+def test_failed_write_sets_nothing_aside(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "write_table", lambda *a, **b: (_ for _ in ()).throw(OSError("disk")))
+    docs = documents(make, json.dumps({"metadata": {}, "flights": [flight("f1")]}))
+    with pytest.raises(OSError):
+        ingest.store_batch(docs, 0, "flights", str(tmp_path / "clean"), str(tmp_path / "rejects"))
+    assert not (tmp_path / "rejects").exists()
+
+
 def test_rewrite_replaces_only_its_partitions(spark, make, tmp_path):
     root = str(tmp_path)
     writers.write_table(make([(1, "a"), (2, "b")], "p int, v string"), root, "t", ("p",))
