@@ -369,7 +369,7 @@ def arrival_windows(spark, root):
 @entry("t05_lookback_on_stream", f"""
 SELECT origin_airport, destination_airport, count(*) AS total_flights, {n_if("cascade_risk = 'true'")} AS cascade_events,
   {share(n_if("cascade_risk = 'true'"))} AS cascade_rate_pct
-FROM live_text WHERE {_USABLE} AND CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 1 DAY
+FROM live_text WHERE {_USABLE} AND CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL 1 DAY AND CAST(timestamp AS TIMESTAMP) <= TIMESTAMP '{LIVE_AS_OF}'
 GROUP BY ALL HAVING count(*) >= 5
 ORDER BY cascade_rate_pct DESC, total_flights DESC, origin_airport, destination_airport LIMIT 50""")
 def lookback_on_stream(spark, root):

@@ -124,7 +124,7 @@ SELECT *,
   {r('insufficient_pct * 0.4e0 + cascade_rate_pct * 0.3e0 + avg_shortfall_minutes * 0.2e0 + high_risk_rotation_count * 0.1e0')} AS priority_score,
   CASE WHEN insufficient_pct > 50 AND cascade_rate_pct > 40 THEN 'CRITICAL - Immediate Action Required'
        WHEN insufficient_pct > 30 AND cascade_rate_pct > 25 THEN 'HIGH - Review Within 30 Days'
-       WHEN greatest(insufficient_pct - 20, cascade_rate_pct - 15) > 0 THEN 'MEDIUM - Monitor and Plan Adjustment'
+       WHEN insufficient_pct > 20 OR cascade_rate_pct > 15 THEN 'MEDIUM - Monitor and Plan Adjustment'
        ELSE 'LOW - Continue Monitoring' END AS action_priority,
   CASE WHEN avg_shortfall_minutes >= 20 THEN 'Add ' || CAST(ceil(avg_shortfall_minutes / 5) * 5 AS INTEGER) || ' minutes'
        WHEN avg_shortfall_minutes >= 10 THEN 'Add 10-15 minutes' WHEN avg_shortfall_minutes >= 5 THEN 'Add 5-10 minutes'
@@ -162,7 +162,8 @@ def report_rows(spark, root):
 
 
 def since(days: int) -> str:
-    return f"CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL {days} DAY"
+    moment = "CAST(timestamp AS TIMESTAMP)"
+    return f"{moment} >= TIMESTAMP '{LIVE_AS_OF}' - INTERVAL {days} DAY AND {moment} <= TIMESTAMP '{LIVE_AS_OF}'"
 
 
 DELAYED, PUNCTUAL = n_if("arrival_delay_minutes > 15"), n_if("arrival_delay_minutes <= 15")

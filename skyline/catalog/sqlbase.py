@@ -180,7 +180,7 @@ SELECT carrier || fnum || '_' || strftime(d, '%Y%m%d') || '_' || org || '_' || d
   CAST(dist AS INTEGER) AS distance_miles,
   CAST(CASE WHEN NOT cancelled THEN taxi_out END AS INTEGER) AS taxi_out_minutes,
   CAST(CASE WHEN NOT cancelled THEN taxi_in END AS INTEGER) AS taxi_in_minutes
-FROM (SELECT *, DATE '2024-03-31' - CAST(l_orderkey % 90 AS INTEGER) AS d,
+FROM (SELECT *, DATE '2024-04-05' - CAST(l_orderkey % 90 AS INTEGER) AS d,
         {pick(STATIONS, 'oi')} AS org, {pick(STATIONS, 'di')} AS dst FROM legs)"""
 
 # One arrival per leg, plus an outdated copy ahead of some of them.
@@ -406,7 +406,7 @@ JOIN skied ON sky_uid = buffered.flight_uid"""
 
 # --- live report intermediates ----------------------------------------------------
 
-_RECENT = "CAST(timestamp AS TIMESTAMP) >= TIMESTAMP '2024-04-01' - INTERVAL {} DAY"
+_RECENT = "CAST(timestamp AS TIMESTAMP) BETWEEN TIMESTAMP '2024-04-01' - INTERVAL {} DAY AND TIMESTAMP '2024-04-01'"
 
 BLOCKS["day_routes"] = f"""
 SELECT origin_airport, destination_airport, count(*) AS total_flights, {n_if('cascade_risk')} AS cascade_events,

@@ -42,17 +42,18 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = N
 
 
 def is_recent(df: DataFrame, as_of: dt.datetime, days: float, stamp: str = "timestamp", day: str = "scrape_date") -> DataFrame:
-    """Rows whose event time is at most ``days`` before ``as_of``.
+    """Rows whose event time is at most ``days`` before ``as_of``, and not after it.
 
-    When the table carries the day it is stored under, the same bound is put on
-    it as a plain literal so that older partitions are never listed or read.
+    When the table carries the day it is stored under, the same bounds are put on
+    it as plain literals so that other partitions are never listed or read.
     """
     cutoff = as_of - dt.timedelta(days=days)
     if day in df.columns:
-        df = df.filter(F.col(day) >= F.lit(cutoff.date()))
+        df = df.filter(F.col(day).between(F.lit(cutoff.date()), F.lit(as_of.date())))
     text = dict(df.dtypes)[stamp] == "string"
     moment = F.try_to_timestamp(F.col(stamp)) if text else F.col(stamp)
-    return df.filter(moment >= F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+    first, last = (F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp") for t in (cutoff, as_of))
+    return df.filter(moment.between(first, last))
 
 
 def top(df: DataFrame, k: int | None, *order: Column) -> DataFrame:

@@ -252,11 +252,11 @@ def delay_phase() -> Column:
 
 def root_causes(
     live: DataFrame, as_of: dt.datetime, days: float = 7, least: int = 10,
-    cancelled_label: str | None = None, k: int | None = 100,
+    cancelled_label: str | None = None, k: int | None = 100, airports: int | None = 20,
 ) -> DataFrame:
     """Five views of the same flights in one table: severity, phase, airport, carrier, hour.
 
-    Every flight is counted under its key in each view, so one scan and one
+    ``airports`` and ``k`` limit the airports and the rows shown; None shows all. Every flight is counted under its key in each view, so one scan and one
     aggregate serve all five; what each view shows is derived from the grouped rows.
     """
     hour = F.col("hour_of_day").cast("string")
@@ -312,7 +312,7 @@ def root_causes(
     place = F.row_number().over(
         Window.partitionBy("metric_category").orderBy(F.desc_nulls_last("percentage"), F.asc_nulls_last("key"))
     )
-    rows = shown.filter(kept).withColumn("place", place).filter(~is_airport | (F.col("place") <= 20)).select(
+    rows = shown.filter(kept).withColumn("place", place).filter(F.lit(True) if airports is None else ~is_airport | (F.col("place") <= airports)).select(
         "metric_category", "metric_value", "count_value", "percentage", "avg_delay_minutes", "secondary_metric"
     )
     return top(rows, k, F.asc("metric_category"), F.desc_nulls_last("percentage"), F.asc_nulls_last("metric_value"))
@@ -505,8 +505,11 @@ def weather_extremes(weather: DataFrame) -> DataFrame:
     )
 
 
-def search_flights(flights: DataFrame, options: Mapping[str, object] | None = None) -> DataFrame:
-    """Flights by date, carrier, origin, destination and status; at most 1000, 250 by default."""
+def search_flights(flights: DataFrame, options: Mapping[str, object] | None = None, most: int | None = 1000) -> DataFrame:
+    """Flights by date, carrier, origin, destination and status; 250 by default.
+
+    The option ``limit`` sets how many, None for all. A limit over ``most`` is an error; ``most=None`` allows any.
+    """
     options = dict(options or {})
     fields = {
         "date": "flight_date", "carrier": "carrier_code", "origin": "origin_airport",
@@ -519,7 +522,10 @@ def search_flights(flights: DataFrame, options: Mapping[str, object] | None = No
     for option, column in fields.items():
         if options.get(option):
             found = found.filter(F.col(column) == str(options[option]).upper())
-    return top(found, min(int(options.get("limit", 250)), 1000), *_up("flight_id", "timestamp"))
+    limit = options.get("limit", 250)
+    if most is not None and (limit is None or int(limit) > most):
+        raise ValueError(f"limit {limit} is over {most}")
+    return top(found, None if limit is None else int(limit), *_up("flight_id", "timestamp"))
 
 
 def flight_summary(flights: DataFrame) -> DataFrame:

@@ -26,18 +26,9 @@ SAMPLE_CLASSES = ((3000, "major_hub"), (2950, "international_gateway"), (2900, "
 COUNTRIES = ("United States", "Russia", "Canada", "USA", "Australia", "Mexico", "France")
 
 
-def table(spark: SparkSession, root: str, name: str, deal_by: str | None = None) -> DataFrame:
-    """A sample table.
-
-    ``deal_by`` names a key over which a table stored in fewer splits than there
-    are cores is dealt out to all of them, a shuffle of at most one split per
-    core. A larger table is read where it lies.
-    """
-    df = spark.read.parquet(f"{root}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if deal_by is None or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, deal_by)
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A sample table, read where it lies."""
+    return spark.read.parquet(f"{root}/{name}.parquet")
 
 
 def _pick(values, index: Column) -> Column:
@@ -50,7 +41,7 @@ def _hhmm(minutes: Column) -> Column:
 
 
 def _legs(spark: SparkSession, root: str) -> DataFrame:
-    line = table(spark, root, "lineitem", "l_orderkey").select(
+    line = table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.floor("l_extendedprice").alias("px"),
     )
@@ -129,7 +120,7 @@ def raw_flights(spark: SparkSession, root: str) -> DataFrame:
 
 def weather(spark: SparkSession, root: str) -> DataFrame:
     """Observation feed: each event is one station-day with 24 hourly readings."""
-    ev = table(spark, root, "events", "event_id")
+    ev = table(spark, root, "events")
     i = F.col("event_id")
     station = _pick(STATIONS, F.col("user_id") % 20)
     day = F.date_add(F.lit("1995-01-01").cast("date"), ((i * 7) % 2400).cast("int"))
@@ -190,9 +181,9 @@ def _iso(date: Column, minutes: Column) -> Column:
 
 
 def live_flights(spark: SparkSession, root: str) -> DataFrame:
-    """Scraped flight feed as text, spread over the 90 days before ``LIVE_AS_OF``."""
+    """Scraped flight feed as text, spread over 90 days; the last five begin at ``LIVE_AS_OF``, which no report may count."""
     j = _legs(spark, root)
-    last = F.lit((LIVE_AS_OF - dt.timedelta(days=1)).date())
+    last = F.lit((LIVE_AS_OF + dt.timedelta(days=4)).date())
     j = j.withColumn("day", F.date_sub(last, (F.col("l_orderkey") % LIVE_SPAN_DAYS).cast("int")))
     day, dep, arr = F.col("day"), F.col("dep_delay"), F.col("arr_delay")
     gone, flown = F.col("cancelled"), ~F.col("cancelled")
@@ -245,7 +236,7 @@ def live_weather(spark: SparkSession, root: str) -> DataFrame:
     minute = F.date_trunc("minute", "ts")
     epoch = F.unix_timestamp(minute)
     code = _pick(STATIONS, F.col("user_id") % 20)
-    return table(spark, root, "events", "event_id").select(
+    return table(spark, root, "events").select(
         F.when(i % 61 != 4, F.concat(code, F.lit("_"), F.date_format(minute, "yyyyMMddHHmm"))).alias("obs_id"),
         code.alias("airport_code"), F.concat(code, F.lit(" City")).alias("airport_city"),
         epoch.alias("valid_time_gmt"),
