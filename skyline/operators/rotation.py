@@ -28,21 +28,17 @@ def clock_columns(flights: DataFrame) -> DataFrame:
     })
 
 
-def busy_tails(flights: DataFrame, tail: str = "TailNum", enough: int = 1_000_000, most: int = 1000) -> Column:
-    """The most common tail numbers with more than ``enough`` rows, as one array.
+# What feeds write where the tail number is not known.
+PLACEHOLDER_TAILS = ("", "0", "000000", "UNKNOW", "UNKNOWN", "NONE", "NULL", "NA", "N/A", "-")
 
-    Placeholder tails can be as large as real fleets. A tail outside the array
-    has at most ``enough`` rows or, with ``most`` larger ones before it, at most
-    one row in ``most`` of the table.
-    """
-    counts = flights.filter(F.col(tail).isNotNull()).groupBy(tail).agg(F.count("*").alias("n"))
-    largest = counts.filter(F.col("n") > enough).orderBy(F.desc("n"), F.asc(tail)).limit(most)
-    return largest.select(F.collect_list(tail).alias("tails")).scalar()
 
+def large_days(tail: str = "TailNum", placeholders: Sequence[str] = PLACEHOLDER_TAILS) -> Column:
+    """Rows whose aircraft-day may be too large for one task: those that name no aircraft.
 
-def large_days(flights: DataFrame, tail: str = "TailNum", **limits: int) -> Column:
-    """Rows whose aircraft-day may be too large for one task: no tail, or a very common one."""
-    return F.col(tail).isNull() | F.array_contains(busy_tails(flights, tail, **limits), F.col(tail))
+    One aircraft flies a few legs a day, so any other aircraft-day is small whatever the
+    size of the table. Only an aircraft-day without an aircraft grows with it.
+    """
+    return F.col(tail).isNull() | F.upper(F.trim(tail)).isin(*placeholders)
 
 
 def link_rows(
@@ -112,7 +108,7 @@ def aircraft_day_links(
     """Neighbouring legs and running totals within each aircraft-day.
 
     ``spread`` marks rows whose aircraft-day is split by clock minute; by default
-    those without a tail number or with one that is unusually common.
+    those without a tail number or with a placeholder for one.
     """
     df = clock_columns(with_flight_date(flights))
     late, dep = F.col("DepDelay") > 15, F.col("DepDelay")
@@ -125,7 +121,7 @@ def aircraft_day_links(
         },
         piece=F.coalesce(F.col("crs_dep_time_int"), F.lit(-1)),
         order=["crs_dep_time_int", *tie_break],
-        spread=large_days(flights) if spread is None else spread,
+        spread=large_days() if spread is None else spread,
         behind=("ArrDelay", "Dest", "crs_arr_time_int"),
         ahead=("DepDelay",),
         totals={

@@ -75,14 +75,9 @@ def test_splitting_groups_changes_nothing(spark, drawn):
     assert whole == pieces == usual
 
 
-def test_common_tails_are_split(make):
-    legs = make([leg("N1", 800, 900, "A", "B", 20.0, 1.0, n) for n in range(5)]
-                + [leg("N2", 800, 900, "A", "B", 20.0, 1.0, 9), leg(None, 800, 900, "A", "B", 20.0, 1.0, 10)], SCHEMA)
-    large = lambda **limits: sorted(
-        r["FlightNum"] for r in legs.filter(rotation.large_days(legs, **limits)).collect())
-    assert large() == [10]
-    assert large(enough=3) == [0, 1, 2, 3, 4, 10]
-    assert large(enough=0, most=1) == [0, 1, 2, 3, 4, 10]
+def test_rows_that_name_no_aircraft_are_split(make):
+    legs = make([leg(t, 800, 900, "A", "B", 20.0, 1.0, n) for n, t in enumerate(("N1", None, "unknown", " ", "000000", "N000000"))], SCHEMA)
+    assert sorted(r["FlightNum"] for r in legs.filter(rotation.large_days()).collect()) == [1, 2, 3, 4]
 
 
 def test_depth_never_falls(spark, root):
