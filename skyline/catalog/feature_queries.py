@@ -280,8 +280,13 @@ FROM (
   FROM features GROUP BY ALL)"""
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of fractions to six digits, so that the order of addition cannot show."""
+    return df.withColumns({c: round_half_up(c, 6) for c in columns})
+
+
 def cascade_mart(spark, root):
-    return marts.cascade_metrics(features(spark, root, "rates", "rolling", "operations"))
+    return _rounded(marts.cascade_metrics(features(spark, root, "rates", "rolling", "operations")), "rolling_avg_arrival_delay_30d")
 
 
 entry("g01_cascade_metrics", _G1)(cascade_mart)
@@ -297,8 +302,8 @@ FROM (
     {r('avg(carrier_delay_rate)', 6)} AS carrier_delay_rate, {r('avg(route_delay_rate)', 6)} AS route_delay_rate,
     {r('avg(time_delay_rate)', 6)} AS time_delay_rate
   FROM features GROUP BY ALL)""")(
-    lambda s, d: marts.reliability_metrics(features(s, d, "rates", "operations"))
-)
+    lambda s, d: _rounded(marts.reliability_metrics(features(s, d, "rates", "operations")),
+                          "avg_reliability_score", "carrier_delay_rate", "route_delay_rate", "time_delay_rate"))
 entry("g03_snapshot", f"SELECT *, TIMESTAMP '2009-01-01 00:00:00' AS snapshot_ts FROM ({_G1})")(
     lambda s, d: marts.snapshot(cascade_mart(s, d), F.lit("2009-01-01 00:00:00").cast("timestamp_ntz"))
 )
@@ -310,9 +315,8 @@ SELECT airport_code, CAST(year(weather_date) AS INTEGER) AS Year, CAST(month(wea
   CAST(sum(high_delay_risk) AS BIGINT) AS risky
 FROM scored WHERE obs_id IS NOT NULL GROUP BY ALL""")
 def weather_gold(spark, root):
-    """Weather features stored by month, read back and counted per month and airport."""
+    """Weather features stored by month, as the job stores them, read back and counted per month and airport."""
     features = weather.weather_features(weather.usable_observations(feed.weather(spark, root)))
-    # The sample has thousands of ids that name no station; a folder for each would be mostly empty.
     parts = ("Year", "Month", "airport_code")
     path = write_table(features, scratch_path(spark, "gold"), "weather_features", ("Year", "Month"))
     return spark.read.parquet(path).groupBy(*parts).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyline.functions import band, first_match, ratio
@@ -168,8 +168,8 @@ def attach_weather(flights: DataFrame, hourly: DataFrame | None, *, keep_reading
 
 
 def match_report(df: DataFrame) -> DataFrame:
-    """Flights per delay likelihood with their share of all flights."""
-    total = df.select(F.count("*").alias("n")).scalar()
+    """Flights per delay likelihood with their share of all flights, summed over the few grouped rows."""
+    total = F.sum("flight_count").over(Window.partitionBy())
     return df.groupBy("weather_delay_likelihood").agg(F.count("*").alias("flight_count")).withColumn(
         "share_pct", ratio(F.col("flight_count") * 100.0, total)
     )

@@ -150,7 +150,7 @@ def run_gold(
     )
     if weather is not None:
         written["weather_features"] = write_table(
-            weather_features(weather), gold, "weather_features", ("Year", "Month", "airport_code")
+            weather_features(weather), gold, "weather_features", ("Year", "Month")
         )
     if security is not None:
         written["security_features"] = write_table(

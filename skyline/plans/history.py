@@ -137,10 +137,11 @@ def why_weather(features: DataFrame, least: int = 100, k: int | None = 100) -> D
     groups = operated(features).groupBy(*WEATHER_GROUP).agg(
         *delay_counts(), delay_quantile(0.9).alias("p90_delay_minutes")
     )
-    usual = groups.select((F.avg(F.round(F.col("delay_rate_pct") * 100)) / 100).alias("m")).scalar()
-    rows = groups.filter(F.col("total_flights") >= least).select(
+    # one row for each combination of weather labels
+    usual = F.avg(F.round(F.col("delay_rate_pct") * 100)).over(Window.partitionBy()) / 100
+    rows = groups.withColumn("usual", usual).filter(F.col("total_flights") >= least).select(
         F.lit("Weather Impact").alias("analysis_type"), *groups.columns,
-        round_half_up(ratio("delay_rate_pct", usual)).alias("delay_rate_multiplier"),
+        round_half_up(ratio("delay_rate_pct", F.col("usual"))).alias("delay_rate_multiplier"),
     )
     return top(rows, k, *_down("weather_severity_score", "delay_rate_pct"), *_by(*WEATHER_GROUP))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyline.functions import band, quantile, ratio_or_zero, round_half_up
+from skyline.functions import band, quantile, ratio_or_zero
 
 ROUTE_MONTH = ("Year", "Month", "UniqueCarrier", "Origin", "Dest")
 
@@ -15,11 +15,6 @@ def snapshot(mart: DataFrame, at: Column | None = None) -> DataFrame:
     return mart.withColumn("snapshot_ts", F.current_timestamp() if at is None else at)
 
 
-def _mean(column: str, digits: int = 6) -> Column:
-    """Mean of a fractional column, rounded so that the order of addition cannot show."""
-    return round_half_up(F.avg(column), digits)
-
-
 def cascade_metrics(features: DataFrame) -> DataFrame:
     """How often delays start, spread and arrive, per carrier, route and month."""
     base = features.groupBy(*ROUTE_MONTH).agg(
@@ -30,7 +25,7 @@ def cascade_metrics(features: DataFrame) -> DataFrame:
         F.sum("on_time_flag").alias("on_time_events"),
         F.avg("ArrDelay").alias("avg_arrival_delay"),
         F.avg("DepDelay").alias("avg_departure_delay"),
-        _mean("rolling_avg_delay_30d").alias("rolling_avg_arrival_delay_30d"),
+        F.avg("rolling_avg_delay_30d").alias("rolling_avg_arrival_delay_30d"),
         F.max("rolling_flight_count_30d").alias("max_flight_volume_30d"),
     )
     shares = {
@@ -48,12 +43,12 @@ def reliability_metrics(features: DataFrame, accuracy: int | None = None) -> Dat
         F.count("*").alias("flight_count"),
         F.sum("on_time_flag").alias("on_time_flights"),
         F.sum("cancelled_flag").alias("cancelled_flights"),
-        _mean("reliability_score").alias("avg_reliability_score"),
+        F.avg("reliability_score").alias("avg_reliability_score"),
         quantile("ArrDelay", 0.5, accuracy).alias("median_arrival_delay"),
         quantile("ArrDelay", 0.8, accuracy).alias("p80_arrival_delay"),
         F.avg("ArrDelay").alias("avg_arrival_delay"),
         F.avg("DepDelay").alias("avg_departure_delay"),
-        *[_mean(c).alias(c) for c in ("carrier_delay_rate", "route_delay_rate", "time_delay_rate")],
+        *[F.avg(c).alias(c) for c in ("carrier_delay_rate", "route_delay_rate", "time_delay_rate")],
     )
     return base.withColumns({
         "on_time_rate": ratio_or_zero("on_time_flights", "flight_count"),

@@ -38,3 +38,15 @@ def run_to_table(stream: DataFrame, sink: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").outputMode("append").option("path", sink).option(
         "checkpointLocation", checkpoint
     ).trigger(availableNow=True).start().awaitTermination()
+
+
+def run_to_snapshot(windows: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process what is available and leave every window so far, open ones too, as one table.
+
+    Each batch replaces the table. The state keeps all windows, whose number grows with
+    the time that the feed covers and not with its rows. In append mode
+    (``run_to_table``) a window is written once, after the watermark has passed it.
+    """
+    windows.writeStream.outputMode("complete").foreachBatch(
+        lambda batch, _: batch.write.mode("overwrite").parquet(sink)
+    ).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
