@@ -56,9 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = os.path.join(tempfile.gettempdir(), "skyline-shared")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return os.path.join(tempfile.gettempdir(), "skyline-shared")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
