@@ -3,8 +3,8 @@
 Redirects and canonical links say that two urls are one page. Urls that differ in
 scheme, ``www.``, fragment, tracking parameters or a last slash only are one page,
 too. Connected components over these edges give each url its aliases. A rule
-decides for the urls it fits; a url without a rule takes the decision of its
-aliases: allow if one of them is allowed by a rule, else block if one is blocked,
+decides for the urls it fits, whether they are pages of the table or only an end of a
+link; a url without a rule takes the decision of its aliases: allow if one of them is allowed by a rule, else block if one is blocked,
 else allow.
 """
 
@@ -51,6 +51,27 @@ def node(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(page, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
+def resolve(url: Column, target: Column) -> Column:
+    """``target`` as found on the page ``url``, made absolute (RFC 3986); null where that cannot be, as for ``mailto:``."""
+    site, page = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*", 0), path(url)
+    first, tail = F.regexp_extract(target, r"^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(page, r"(?s)^(.*/)", 1)
+    whole = F.when(F.startswith(first, F.lit("/")), first).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), first))
+    parts = F.split(F.regexp_replace(whole, r"/(\.\.?)$", "/$1/"), "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda out, part: F.when(part == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(part == ".", out).otherwise(F.concat(out, F.array(part))),
+    )
+    same = F.concat(site, page, F.when(F.startswith(tail, F.lit("?")), "").otherwise(F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)), tail)
+    return (
+        F.when(F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), target)
+        .when((site == "") | F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(url, r"^[^:/?#]+:", 0), target))
+        .when(first == "", same)
+        .otherwise(F.concat(site, F.lit("/"), F.array_join(kept, "/"), tail))
+    )
+
+
 def _rule(host_: Column, path_: Column, rules: Sequence[Rule]) -> Column:
     """(rule, action) of the longest rule that fits, or null."""
     if len(rules) > MOST_RULES:
@@ -76,8 +97,9 @@ def page_links(pages: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: Sequence[Rule], links: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, component) of every row of ``pages``.
 
-    ``links`` has (url, target) of redirects known from elsewhere. Links with a null or
-    relative end are left out. A null url has an empty host and path, no rule, no alias,
+    ``links`` has (url, target) of redirects known from elsewhere. A target is
+    resolved against its url; links with a null end or a relative url are left out. Rules are
+    held against both ends of every link, too. A null url has an empty host and path, no rule, no alias,
     and is allowed. Repeated rows are judged each. An empty table gives an empty
     result. Html is read for its links if there is such a column; no other column is.
     """
@@ -94,10 +116,19 @@ def judge(pages: DataFrame, rules: Sequence[Rule], links: DataFrame | None = Non
         known = given if known is None else known.union(given)
     if known is None:
         known = pages.select(url.alias("url"), url.alias("target")).filter("false")
-    joined = components(known.select(node(F.col("url")).alias("a"), node(F.col("target")).alias("b")), "a", "b")
+    known = known.select("url", resolve(F.col("url"), F.col("target")).alias("target")).filter("url is not null and target is not null")
+    ends = [(host(F.col(c)), path(F.col(c)), node(F.col(c))) for c in ("url", "target")]
+    ends = [F.struct(h.alias("host"), p.alias("path"), n.alias("node")) for h, p, n in ends]
+    known = staged(known.select(ends[0].alias("a"), ends[1].alias("b")), "links")
+    joined = components(known.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "a", "b")
     named = seen.join(joined.withColumnRenamed("node", "alias"), F.col("node") == F.col("alias"), "left").drop("alias")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    decided = named.filter("action is not null and component is not null").groupBy("component").agg(
+    # Ends of links count like pages: a page may lead to a url that is no row of the table.
+    ruled = known.filter("a.node is not null and b.node is not null").select(F.explode(F.array("a", "b")).alias("end")).select("end.*").distinct()
+    ruled = ruled.select("node", _rule(F.col("host"), F.col("path"), rules)["action"].alias("action")).filter("action is not null")
+    ruled = ruled.join(joined.withColumnRenamed("node", "alias"), F.col("node") == F.col("alias"), "left")
+    ruled = named.select("component", "action").union(ruled.select(F.coalesce("component", "node").alias("component"), "action"))
+    decided = ruled.filter("action is not null and component is not null").groupBy("component").agg(
         F.min("action").alias("decision")  # allow comes before block
     ).filter("decision = 'block'")
     verdict = F.coalesce("action", "decision", F.lit("allow"))

@@ -44,6 +44,35 @@ def test_rules_and_aliases(spark):
     assert {got[i] for i in (5, 6, 12)} == {"block"} and got[7] == "allow"
 
 
+def test_ends_of_links_that_are_no_pages(spark):
+    page = lambda i, url, target: (i, url, f'<link rel="canonical" href="{target}">')
+    rows = [
+        page(1, "https://one.net/", "https://bad.org/gone"), page(2, "http://bad.org/x", "https://bad.org/ok/gone"), page(3, "https://two.net/", "http://bad.org/x"),
+        page(4, "https://x.com/a/b?q=1", "/fr/"), page(5, "https://x.com/fr", "//bad.org/y"), page(6, "https://three.net/login", "/go?next=http://bad.org/z"),
+        page(7, "https://four.net/a", "mailto:me@bad.org"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    df = url_filter.judge(pages, RULES)
+    _no_python(df)
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in df.collect()}
+    assert got == {
+        1: (None, "block"), 2: ("bad.org/", "block"), 3: (None, "allow"), 4: (None, "block"), 5: (None, "block"), 6: (None, "allow"), 7: (None, "allow"),
+    }
+    links = spark.createDataFrame([("https://one.net/", "https://bad.org/gone")], "url string, target string")
+    assert url_filter.judge(pages.filter("page_id = 1").drop("html"), RULES, links).first()["verdict"] == "block"
+
+
+def test_targets_are_resolved_as_on_their_page(spark):
+    base = "http://a/b/c/d;p?q"
+    plain = {
+        "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y",
+        "#s": "http://a/b/c/d;p?q#s", ".": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g", "../../../g": "http://a/g", "http://x/y": "http://x/y", "mailto:x": None,
+    }
+    rows = spark.createDataFrame([(base, t) for t in plain], "url string, target string")
+    got = rows.select("target", url_filter.resolve(F.col("url"), F.col("target")).alias("whole")).collect()
+    assert {r["target"]: r["whole"] for r in got} == plain
+
+
 def test_links_from_elsewhere_and_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.b/"), (2, "http://bad.org/q")], "page_id bigint, url string")
     links = spark.createDataFrame([("http://bad.org/q", "http://a.b"), (None, "http://a.b"), ("/relative", "http://a.b")], "url string, target string")
