@@ -396,7 +396,7 @@ def turnarounds(
         group={"tail": F.col("tail_number"), "day": F.coalesce("flight_date", F.lit(""))},
         piece=F.col("slot"),
         order=["slot", *tie_break],
-        spread=large_days(legs, "tail_number") if spread is None else spread,
+        spread=large_days("tail_number") if spread is None else spread,
         behind=("landed",),
         ahead=("origin_airport", "left", "due", "departure_delay_minutes", "cascade_risk"),
     ).withColumnRenamed("__next", "nxt").filter(

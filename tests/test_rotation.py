@@ -107,3 +107,22 @@ def test_only_one_exchange_for_all_flights(spark, root, tmp_path):
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__g_tail" in line]
     # one for the flights, the rest belongs to the per-minute summary of unknown tails
     assert len([line for line in wide if "__piece" in line]) <= 3 and len(wide) <= 4
+
+
+def test_turn_times_with_and_without_a_tail(make):
+    """Legs under a placeholder are windowed in pieces, with the result of one window."""
+    import datetime as dt
+
+    from skyline.plans.live import turnarounds
+
+    schema = ("tail_number string, flight_date string, origin_airport string, destination_airport string, carrier string, flight_number string, "
+              "scheduled_departure_time string, actual_departure_time string, actual_arrival_time string, departure_delay_minutes int, "
+              "cascade_risk string, is_cancelled boolean, timestamp string")
+    at = lambda tail, a, b, due, left, landed, n: (tail, "2024-01-01", a, b, "C", n, due, left, landed, 20, "LOW", False, "2024-01-01T12:00:00")
+    rows = [at(tail, *leg_) for tail in ("N1", "UNKNOWN", "XXXX") for leg_ in (
+        ("A", "B", "08:00", "08:10", "09:00", "1"), ("B", "C", "10:00", "10:05", "11:00", "2"), ("D", "E", "12:00", "12:00", "13:00", "3"))]
+    live = make(rows, schema)
+    got = {r["tail_number"]: (r["turnaround_airport"], r["turnaround_time_minutes"], r["scheduled_turnaround_minutes"]) for r in turnarounds(live, dt.datetime(2024, 1, 2), 90).collect()}
+    assert got == {tail: ("B", 65.0, 60.0) for tail in ("N1", "UNKNOWN", "XXXX")}
+    whole = {r["tail_number"]: r["turnaround_time_minutes"] for r in turnarounds(live, dt.datetime(2024, 1, 2), 90, spread=F.lit(False)).collect()}
+    assert whole == {tail: value[1] for tail, value in got.items()}
