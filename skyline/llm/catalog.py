@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyline.llm import (
-    decontamination, hmm, language_id, line_rules, mixing, order_minhash, quality_ranker, secret_scan, toxicity, url_filter,
+    decontamination, exact_dedup, hmm, language_id, line_rules, mixing, order_minhash, prefix_trie, quality_ranker, secret_scan, spelling,
+    toxicity, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +88,19 @@ def op10_order_minhash(spark: SparkSession, root: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, root, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, root, "conversations"))
+
+
+def op12_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, root, "documents"), digests=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return spelling.variants(table(spark, root, "documents"))
+
+
 # Budgets by the same rules, level by level; then the running sum of tokens in each leaf's order.
 OP2_SQL = r"""
 WITH docs AS (
@@ -178,9 +192,97 @@ SELECT page_id, host, path, rule, coalesce(action, decision, 'allow') AS verdict
 """
 
 
+# crc32 by its table of 256 remainders, byte by byte.
+CRC = r"""
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END), i)) AS remainders)
+"""
+CRC_OF = "xor(list_reduce({bytes}, lambda a, x: xor(a >> 8, remainders[xor(a, x) % 256 + 1]), 4294967295), 4294967295)"
+
+# Prefixes as lists; each node's conversation leads through all nodes above it.
+OP11_SQL = rf"""
+WITH {CRC}, placed AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, count(*) AS own, {CRC_OF.format(bytes="list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 4 AS h FROM placed, crc GROUP BY c, remainders
+), sizes AS (
+  SELECT a.c, a.h, a.c - a.c % 20 AS base, least(a.h, coalesce(b.own, 0)) AS taken, least(a.h, coalesce(b.own, 0)) + greatest(a.own - a.h, 0) AS size
+  FROM convs a LEFT JOIN convs b ON b.c = a.c - a.c % 20
+), turn_rows AS (
+  SELECT s.c, p.place AS depth, role, text, size FROM sizes s JOIN placed p ON p.c = s.base AND p.place <= taken
+  UNION ALL SELECT s.c, p.place - h + taken, role, text, size FROM sizes s JOIN placed p ON p.c = s.c AND p.place > h
+), steps AS (
+  SELECT c, depth, size, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    list(md5(len(role) || ':' || role || text)) OVER (PARTITION BY c ORDER BY depth) AS key FROM turn_rows
+  UNION ALL SELECT c, 0, size, 0, CAST([] AS VARCHAR[]) FROM sizes
+), nodes AS (
+  SELECT key, min(c) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(words) AS words,
+    string_agg(CASE WHEN depth = size THEN c::VARCHAR END, ',' ORDER BY c) AS ends FROM steps GROUP BY key
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.key AS parent FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[:n.depth - 1]
+), children AS (
+  SELECT parent AS key, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent
+), counted AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (key)
+), subtrees AS (
+  SELECT s.key, sum((n.n_convs - 1) * n.words) AS saved_tokens, count(*) FILTER (n.n_children = 0) AS n_leaves
+  FROM counted n JOIN steps s ON s.c = n.conv_id AND s.depth <= n.depth GROUP BY s.key
+)
+SELECT conv_id::BIGINT AS conv_id, depth::BIGINT AS depth, parent_conv_id::BIGINT AS parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM counted JOIN subtrees USING (key)
+"""
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256, row_number() OVER () AS place FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, place) = 1 AS kept, text_sha256
+FROM texts WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+# One code point taken out of every place: equal rests at one place are replacements, a rest that is a word is a deletion.
+OP13_SQL = rf"""
+WITH RECURSIVE {CRC}, runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+  SELECT run, times, {CRC_OF.format(bytes="list_transform(range(octet_length(encode(coalesce(doc_id::VARCHAR, '') || ':' || run))), lambda k: ('0x' || hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run))[2 * k + 1:2 * k + 2])::BIGINT)")} AS h
+  FROM runs, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:(h % len(run))::BIGINT] || run[(h % len(run))::BIGINT + 2:] ELSE run END AS word, sum(times)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING len(word) >= 5 AND n >= 3
+), cuts AS (
+  SELECT word, n, k, word[:k] || word[k + 2:] AS rest FROM (SELECT word, n, unnest(range(len(word))) AS k FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b USING (k, rest) WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, form, 0 AS step FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN formed f ON f.word = walk.form WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(form, step) AS root FROM walk GROUP BY word
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near::BIGINT AS n_near, form_n FROM formed LEFT JOIN roots USING (word)
+"""
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     queries = (
         op1_hidden_markov_model, op2_source_mixing, op3_string_tiling, op4_quality_ranking, op5_language_id,
-        op6_toxicity, op7_url_filter, op8_secret_scan, op9_line_rules, op10_order_minhash,
+        op6_toxicity, op7_url_filter, op8_secret_scan, op9_line_rules, op10_order_minhash, op11_prefix_trie, op12_exact_dedup,
+        op13_spelling_variants,
     )
-    return {q.__name__: q for q in queries}, {"op2_source_mixing": OP2_SQL, "op7_url_filter": OP7_SQL}
+    sql = {
+        "op2_source_mixing": OP2_SQL, "op7_url_filter": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op12_exact_dedup": OP12_SQL,
+        "op13_spelling_variants": OP13_SQL,
+    }
+    return {q.__name__: q for q in queries}, sql
