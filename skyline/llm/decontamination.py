@@ -42,15 +42,18 @@ def _windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndar
 def _items(least_tile: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, seeds = [None] * batch.num_rows, [[]] * batch.num_rows
+            tokens, seeds, times = [None] * batch.num_rows, [[]] * batch.num_rows, [[]] * batch.num_rows
             for first, bounds, hashes in word_hashes(batch.column("text"), LETTERS):
                 grams, rows, _ = _windows(hashes, bounds, least_tile)
                 for i in range(len(bounds) - 1):
                     tokens[first + i] = hashes[bounds[i]:bounds[i + 1]].tobytes()
-                    seeds[first + i] = np.unique(grams[rows == i]).view(np.int64)
+                    own, n = np.unique(grams[rows == i], return_counts=True)
+                    seeds[first + i], times[first + i] = own.view(np.int64), n
+            keys = [hashlib.md5(x, usedforsecurity=False).digest() for x in tokens]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (seeds, times)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(tokens, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))],
-                ["item_id", "item", "seeds"],
+                [batch.column("item_id"), pa.array(keys, pa.binary()), pa.array(tokens, pa.binary()), *lists],
+                ["item_id", "item_key", "item", "seeds", "times"],
             )
 
     return run
@@ -149,6 +152,33 @@ def _tiled(least_tile: int, coverage: float):
     return run
 
 
+def _leaks(docs: DataFrame, benchmark: DataFrame, coverage: float, least_tile: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, piece) of the rows of ``docs`` (doc_id, text) with a seed, and the leaks by piece and item.
+
+    The seed join moves ids only and counts, for each piece and item, how many of the item's
+    windows the piece has. Tiles of ``least_tile`` words or more cover at most that many times ``least_tile`` words, so
+    most pairs are ruled out before the words of piece and item are fetched. A seed that many documents share makes
+    partitions of ids that adaptive execution splits; the other side has the benchmark's items only.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    shape = "item_id bigint, item_key binary, item binary, seeds array<bigint>, times array<bigint>"
+    items = staged(items.mapInArrow(_items(least_tile), shape).dropDuplicates(["item_id", "item_key"]), "items")
+    seeds = items.select("item_id", "item_key", F.inline(F.arrays_zip("seeds", "times"))).withColumnsRenamed({"seeds": "seed"})
+    filter_ = bitfilter.build(seeds.select("seed"))
+    found = staged(docs.mapInArrow(_stretches(filter_, least_tile), f"doc_id {kind}, piece binary, words binary, seeds array<bigint>"), "stretches")
+
+    pieces = found.dropDuplicates(["piece"])
+    met = pieces.select("piece", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    met = met.groupBy("piece", "item_id", "item_key").agg(F.sum("times").alias("windows"))
+    bodies = items.select(F.col("item_id").alias("id"), F.col("item_key").alias("key"), "item")
+    met = met.join(bodies, F.col("item_key").eqNullSafe(F.col("key")) & F.col("item_id").eqNullSafe(F.col("id")))
+    met = met.filter(F.col("windows") * least_tile >= coverage * F.octet_length("item") / 8).select("piece", "item_id", "item")
+    shape = "piece binary, item_id bigint, item_words int, covered_words int, n_tiles int, longest_tile int"
+    leaks = staged(met.join(pieces.select("piece", "words"), "piece").mapInArrow(_tiled(least_tile, coverage), shape), "leaks")
+    return found.select("doc_id", "piece").distinct(), leaks
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least_tile: int = LEAST_TILE) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, n_tiles, longest_tile, coverage) of every leak.
 
@@ -160,18 +190,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """
     arrow_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = staged(items.mapInArrow(_items(least_tile), "item_id bigint, item binary, seeds array<bigint>").distinct(), "items")
-    seeds = items.select("item_id", "item", F.explode("seeds").alias("seed"))
-    filter_ = bitfilter.build(seeds.select("seed"))
-    found = staged(docs.mapInArrow(_stretches(filter_, least_tile), "doc_id bigint, piece binary, words binary, seeds array<bigint>"), "stretches")
+    found, leaks = _leaks(docs, benchmark, coverage, least_tile)
+    return found.join(leaks, "piece").drop("piece").distinct().withColumn("coverage", F.col("covered_words") / F.col("item_words"))
 
-    pieces = found.dropDuplicates(["piece"])
-    met = pieces.select("piece", F.explode("seeds").alias("seed")).join(seeds, "seed").select("piece", "item_id", "item").distinct()
-    pairs = met.join(pieces.select("piece", "words"), "piece")
-    shape = "piece binary, item_id bigint, item_words int, covered_words int, n_tiles int, longest_tile int"
-    leaks = staged(pairs.mapInArrow(_tiled(least_tile, coverage), shape), "leaks")
-    return (
-        found.select("doc_id", "piece").distinct().join(leaks, "piece").drop("piece").distinct()
-        .withColumn("coverage", F.col("covered_words") / F.col("item_words"))
-    )
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least_tile: int = LEAST_TILE) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item, with all their columns, whatever their doc_id."""
+    arrow_batches(docs.sparkSession)
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    texts = docs.select(digest.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found, leaks = _leaks(texts, benchmark, coverage, least_tile)
+    gone = staged(found.join(leaks, "piece").select(F.col("doc_id").alias("__digest")).distinct(), "leaking")
+    return docs.withColumn("__digest", digest).join(gone, "__digest", "left_anti").select(*docs.columns)

@@ -32,11 +32,14 @@ from skyline.llm.hashing import WIDE, word_hashes
 from skyline.llm.shared import arrow_batches, crc_remainder, staged
 
 STATES = 8
-PASSES = 2
+#: The corpus is passed over until the log-likelihood of the training tokens gains less than this share of itself.
+GAIN = 0.002
+#: Passes at most, should the gain never fall so far.
+PASSES = 20
 #: Most words looked up in a broadcast table; most words that are a class of their own; classes by shape.
 HEAD, OWN, SHAPES = 131_072, 8_191, 8_192
-#: Texts, about, for the starting point of the passes.
-START_TEXTS = 400
+#: Pieces of training texts, at most, for the starting point of the passes.
+START_PIECES = 400
 SEED = 11
 #: Training sequences are cut at this many tokens; scores never are.
 PIECE = 1024
@@ -205,8 +208,13 @@ class _Layout:
 
 def expected_counts(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of the sequences under the model."""
+    return _expected(sequences, model)[:3]
+
+
+def _expected(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts and the log-likelihood."""
     layout = _Layout(sequences)
-    _, gamma, scales = layout.forward(model, keep=True)
+    logs, gamma, scales = layout.forward(model, keep=True)
     states = len(model.start)
     moves = np.zeros((states, states))
     beta = None
@@ -221,7 +229,7 @@ def expected_counts(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarr
         gamma[at] *= now
         beta = now
     emitted = np.stack([np.bincount(layout.symbols, gamma[:, k], len(model.emit)) for k in range(states)], axis=1)
-    return gamma[:layout.active[0]].sum(axis=0, dtype=np.float64), moves * model.move, emitted
+    return gamma[:layout.active[0]].sum(axis=0, dtype=np.float64), moves * model.move, emitted, float(logs.sum())
 
 
 def _maximised(start: np.ndarray, moves: np.ndarray, emitted: np.ndarray, prior: np.ndarray, novel: float) -> Model:
@@ -252,17 +260,19 @@ def _chunks(sequences: list[np.ndarray]) -> Iterator[list[int]]:
 
 def _expectation(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """This task's sums: class -1 is the start, -2 - i the moves from state i."""
+        """This task's sums: class -1 is the start, -2 - i the moves from state i; after these, the log-likelihood."""
         exact = Model(**shared.value)
         model = Model(*(x.astype(np.float32) for x in (exact.start, exact.move, exact.emit)))
         states = len(model.start)
-        sums = [np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape)]
+        sums = [np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape), np.zeros(states)]
         held, tokens = [], 0
 
         def add():
             for group in _chunks(held):
-                for total, part in zip(sums, expected_counts([held[i] for i in group], model)):
+                *parts, log = _expected([held[i] for i in group], model)
+                for total, part in zip(sums, parts):
                     total += part
+                sums[3][0] += log
 
         for batch in batches:
             for piece in _pieces(x.as_py() for x in batch.column("classes")):
@@ -272,8 +282,8 @@ def _expectation(shared: Broadcast):
                 add()
                 held, tokens = [], 0
         add()
-        rows = np.concatenate([sums[0][None, :], sums[1], sums[2]])
-        keys = np.concatenate([-1 - np.arange(states + 1), np.arange(len(sums[2]))])
+        rows = np.concatenate([sums[0][None, :], sums[1], sums[3][None, :], sums[2]])
+        keys = np.concatenate([-1 - np.arange(states + 2), np.arange(len(sums[2]))])
         some = rows.any(axis=1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[some].astype(np.int32)), *(pa.array(rows[some, k]) for k in range(states))], ["class", *(f"s{k}" for k in range(states))]
@@ -318,7 +328,23 @@ def _start(texts: list[bytes], prior: np.ndarray, novel: float, states: int) ->
     return model
 
 
-def score(docs: DataFrame, *, states: int = STATES, passes: int = PASSES, modulus: int = 7, held: int = 2) -> DataFrame:
+def _start_pieces(learnt: DataFrame, vocabulary: Vocabulary) -> list[bytes]:
+    """The pieces of training texts with the least hashes, wherever they stand in a text and however the table is split.
+
+    Equal pieces count once, so a text with many copies does not fill the sample.
+    """
+    texts = vocabulary.weights[vocabulary.classes[np.searchsorted(vocabulary.words, END)]]
+    share = int(min(1.0, 4 * START_PIECES / max(vocabulary.tokens / PIECE + texts, 1.0)) * 10**15)
+    at = F.sequence(F.lit(0), F.floor((F.octet_length("classes") / 2 - 1) / PIECE).cast("int"))
+    cut = F.transform(at, lambda i: F.substring("classes", i * (2 * PIECE) + 1, F.lit(2 * PIECE)))
+    pieces = learnt.select(F.explode(cut).alias("piece")).withColumn("hash", F.xxhash64("piece", F.lit(SEED)))
+    few = pieces.filter(F.pmod("hash", F.lit(10**15)) < share).distinct().orderBy("hash", "piece").limit(START_PIECES)
+    return [bytes(r["piece"]) for r in few.collect()]
+
+
+def score(
+    docs: DataFrame, *, states: int = STATES, passes: int = PASSES, gain: float = GAIN, modulus: int = 7, held: int = 2,
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     A text is learnt from unless the crc32 of its doc_id, as text, modulo
@@ -344,18 +370,18 @@ def score(docs: DataFrame, *, states: int = STATES, passes: int = PASSES, modulu
     prior = vocabulary.weights / vocabulary.weights.sum()
     # the share of new words among all tokens
     novel = (vocabulary.distinct + 1) / (vocabulary.tokens + vocabulary.distinct + 1)
-    texts = vocabulary.weights[vocabulary.classes[np.searchsorted(vocabulary.words, END)]]
-    share = int(min(1.0, START_TEXTS / max(texts, 1.0)) * 1_000_000)
-    few = learnt.filter(F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(1_000_000)) < share).select("row", F.expr(f"substring(classes, 1, {2 * PIECE})").alias("classes"))
-    model = _start([bytes(r["classes"]) for r in sorted(few.limit(4 * START_TEXTS).collect(), key=lambda r: r["row"])], prior, novel, states)
-    columns = [f"s{k}" for k in range(states)]
+    model = _start(_start_pieces(learnt, vocabulary), prior, novel, states)
+    columns, last = [f"s{k}" for k in range(states)], None
     for _ in range(passes):
         parts = learnt.select("classes").mapInArrow(_expectation(spark.sparkContext.broadcast(vars(model))), f"class int, {', '.join(c + ' double' for c in columns)}")
         rows = parts.groupBy("class").agg(*(F.sum(c).alias(c) for c in columns)).collect()
-        sums = np.zeros((1 + states + len(prior), states))
+        sums = np.zeros((2 + states + len(prior), states))
         for r in rows:
-            sums[r["class"] + 1 + states if r["class"] >= 0 else -1 - r["class"]] = [r[c] for c in columns]
-        model = _maximised(sums[0], sums[1:1 + states], sums[1 + states:], prior, novel)
+            sums[r["class"] + 2 + states if r["class"] >= 0 else -1 - r["class"]] = [r[c] for c in columns]
+        model, log = _maximised(sums[0], sums[1:1 + states], sums[2 + states:], prior, novel), sums[1 + states][0]
+        if last is not None and log - last < gain * abs(last):
+            break
+        last = log
 
     rest = encoded.select("row", F.explode("rest").alias("word")).join(counts.select("word", "n"), "word")
     rest = rest.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1)).alias("rest"), F.count(F.lit(1)).alias("n_rest"))

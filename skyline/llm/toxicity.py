@@ -46,6 +46,25 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "foreigners", "natives"),
     ("disabled", "blind", "deaf", "autistic"),
     ("old", "young", "elderly"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "katholiken"),
+    ("schwarze", "weiße", "asiaten", "araber"),
+    ("türken", "polen", "deutsche", "franzosen", "russen"),
+    ("flüchtlinge", "einwanderer", "ausländer", "einheimische"),
+    ("schwule", "lesben", "transsexuelle"),
+    ("behinderte", "blinde", "gehörlose"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    ("noirs", "blancs", "asiatiques", "arabes"),
+    ("immigrés", "réfugiés", "étrangers", "autochtones"),
+    ("gays", "lesbiennes", "transgenres"),
+    ("handicapés", "aveugles", "sourds"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("negros", "blancos", "asiáticos", "árabes", "gitanos"),
+    ("inmigrantes", "refugiados", "extranjeros", "nativos"),
+    ("gais", "lesbianas", "transexuales"),
+    ("discapacitados", "ciegos", "sordos"),
 )
 
 Groups = tuple[tuple[str, ...], ...]
@@ -111,13 +130,16 @@ def fit(table: np.ndarray, labels: np.ndarray, columns: np.ndarray, terms: list[
     place = {int(f): i for i, f in enumerate(columns)}
     swaps = np.zeros((width, width))
     for group in terms:
-        for own in group:
-            having = table[:, place[int(own[0])]].sum() if int(own[0]) in place else 0
-            for other in group if having else ():
-                change = np.zeros(width)
-                for sign, features in ((-1, np.setdiff1d(own, other)), (1, np.setdiff1d(other, own))):
-                    change[[place[int(f)] for f in features if int(f) in place]] = sign
-                swaps += having * np.outer(change, change)
+        # a term that is there often has the features for that, too, and hands all of them on
+        for group_ in (group, [np.concatenate([x, _often(x)]) for x in group]):
+            for own in group_:
+                mark = int(own[0]) if group_ is group else int(own[len(own) // 2])
+                having = table[:, place[mark]].sum() if mark in place else 0
+                for other in group_ if having else ():
+                    change = np.zeros(width)
+                    for sign, features in ((-1, np.setdiff1d(own, other)), (1, np.setdiff1d(other, own))):
+                        change[[place[int(f)] for f in features if int(f) in place]] = sign
+                    swaps += having * np.outer(change, change)
     ridge = RIDGE * np.eye(width)
     ridge[-1, -1] = 1e-6
     for _ in range(25):
@@ -131,7 +153,9 @@ def fit(table: np.ndarray, labels: np.ndarray, columns: np.ndarray, terms: list[
     return weights
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, held: int = 2, groups: Groups = IDENTITY_TERMS) -> Broadcast:
+def learn(
+    docs: DataFrame, labels: DataFrame, *, modulus: int = 4, held: int = 2, groups: Groups = IDENTITY_TERMS, fairness: float = FAIRNESS,
+) -> Broadcast:
     """Fit to a sample of labelled documents and broadcast the weights, at most CHOSEN and one for each term.
 
     Labels are learnt from unless the crc32 of the doc_id, as text, modulo ``modulus`` is
@@ -165,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, held: int = 2
     table = np.zeros((len(held), len(columns)))
     for i, r in enumerate(held):
         table[i, r["places"] or []] = 1
-    weights = fit(table, np.array([r["label"] for r in held]), columns.view(WIDE), terms)
+    weights = fit(table, np.array([r["label"] for r in held]), columns.view(WIDE), terms, fairness)
     order = np.argsort(columns.view(WIDE))
     return spark.sparkContext.broadcast({"features": columns.view(WIDE)[order], "weights": weights[:-1][order], "bias": float(weights[-1])})
 

@@ -21,7 +21,7 @@ from skyline.llm.shared import staged
 
 #: (action, host and path); the longest rule that fits wins, and allow wins between equals.
 Rule = tuple[str, str]
-#: Rules become one expression; more of them belong in a table.
+#: Rules that become one expression; more of them are joined as a table.
 MOST_RULES = 1000
 
 # Query parameters that do not change the page.
@@ -74,8 +74,6 @@ def resolve(url: Column, target: Column) -> Column:
 
 def _rule(host_: Column, path_: Column, rules: Sequence[Rule]) -> Column:
     """(rule, action) of the longest rule that fits, or null."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
     found = F.lit(None).cast("struct<rule:string,action:string>")
     for action, rule in sorted(rules, key=lambda r: (len(r[1]), r[0] == "allow")):
         domain, slash, rest = rule.partition("/")
@@ -84,20 +82,67 @@ def _rule(host_: Column, path_: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def _with_rule(rows: DataFrame, rules: Sequence[Rule] | DataFrame) -> DataFrame:
+    """``rows`` (host, path, ...) with ``rule`` and ``action`` of the longest rule that fits, null if none does.
+
+    A table of rules (action, rule) is joined on the host and every domain above it. Distinct hosts and
+    paths are looked up, so a url that fills the table counts once; a rule on a domain that holds
+    most urls makes partitions that adaptive execution splits, against one row of the rule table.
+    """
+    if not isinstance(rules, DataFrame) and len(rules) > MOST_RULES:
+        rules = rows.sparkSession.createDataFrame(list(rules), "action string, rule string")
+    if not isinstance(rules, DataFrame):
+        found = rows.withColumn("__found", _rule(F.col("host"), F.col("path"), rules))
+        return found.select(*rows.columns, F.col("__found.rule").alias("rule"), F.col("__found.action").alias("action"))
+    known = rules.filter("rule is not null and action in ('allow', 'block')").select("action", "rule").distinct()
+    known = known.withColumns({"domain": F.regexp_extract("rule", "^([^/]*)", 1), "start": F.regexp_extract("rule", "(?s)^[^/]*(.*)$", 1)})
+    labels = F.split("host", "[.]")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    places = rows.select("host", "path").filter("host is not null and path is not null").distinct()
+    met = places.select("host", "path", F.explode(above).alias("domain")).join(known, "domain").filter(F.startswith("path", F.col("start")))
+    longest = F.max(F.struct(F.length("rule").alias("size"), (F.col("action") == "allow").alias("allows"), "rule", "action"))
+    best = staged(met.groupBy("host", "path").agg(longest.alias("best")).select("host", "path", "best.rule", "best.action"), "rules")
+    return rows.join(best, ["host", "path"], "left").select(*rows.columns, "rule", "action")
+
+
+# The entities that stand in urls of html.
+ENTITIES = (("&(lt|#0*60|#x0*3c);", "<"), ("&(gt|#0*62|#x0*3e);", ">"), ("&(quot|#0*34|#x0*22);", '"'), ("&(apos|#0*39|#x0*27);", "'"), ("&(amp|#0*38|#x0*26);", "&"))
+
+
+def _decoded(value: Column) -> Column:
+    for pattern, character in ENTITIES:
+        value = F.regexp_replace(value, f"(?i){pattern}", character)
+    return value
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, in quotes or bare; empty if it is not there."""
+    found = [F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*{value}", 1) for value in (r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'>]+)")]
+    return F.trim(_decoded(F.when(found[0] != "", found[0]).when(found[1] != "", found[1]).otherwise(found[2])))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(url, target) of canonical links and immediate redirects in the pages' html."""
-    link = F.regexp_extract("html", r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
+    """(url, target) of canonical links and immediate redirects in the pages' html.
+
+    ``canonical`` may be one of several values of ``rel``. Entities are decoded, and a target is resolved
+    against the page's ``<base>`` where it has one. Only the first link and the first redirect of a page count.
+    """
+    rel = r"""\brel\s*=\s*(?:"[^"]*\bcanonical\b[^"]*"|'[^']*\bcanonical\b[^']*'|canonical\b)"""
+    link = F.regexp_extract("html", rf"(?i)<link\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?{rel}[^>]*>", 0)
     refresh = F.regexp_extract("html", r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    found = F.array(
-        F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1), F.regexp_extract(refresh, r"(?i)\burl\s*=\s*([^\"'\s>;]+)", 1)
-    )
-    return pages.select("url", F.explode(found).alias("target")).filter("target <> ''")
+    target = F.regexp_extract(_attribute(refresh, "content"), r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
+    bare = _decoded(F.regexp_extract(refresh, r"(?i)\burl\s*=\s*([^\"'\s>;]+)", 1))
+    found = F.array(_attribute(link, "href"), F.when(target != "", target).otherwise(bare))
+    base = _attribute(F.regexp_extract("html", r"(?i)<base\b[^>]*\bhref\b[^>]*>", 0), "href")
+    rows = pages.select("url", F.when(base != "", base).alias("base"), F.explode(found).alias("target")).filter("target <> ''")
+    whole = resolve(F.coalesce(resolve(F.col("url"), F.col("base")), F.col("url")), F.col("target"))
+    return rows.select("url", whole.alias("target")).filter("target is not null")
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], links: DataFrame | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule] | DataFrame, links: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, component) of every row of ``pages``.
 
-    ``links`` has (url, target) of redirects known from elsewhere. A target is
+    ``rules`` are a few, or a table (action, rule) of any size. ``links`` has (url, target) of redirects known from elsewhere. A target is
     resolved against its url; links with a null end or a relative url are left out. Rules are
     held against both ends of every link, too. A null url has an empty host and path, no rule, no alias,
     and is allowed. Repeated rows are judged each. An empty table gives an empty
@@ -107,9 +152,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], links: DataFrame | None = Non
     seen = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), host(url).alias("host"), path(url).alias("path"), node(url).alias("node")
     )
-    seen = staged(seen.withColumn("__found", _rule(F.col("host"), F.col("path"), rules)).select(
-        "page_id", "host", "path", "node", F.col("__found.rule").alias("rule"), F.col("__found.action").alias("action")
-    ), "pages")
+    seen = staged(_with_rule(seen, rules), "pages")
     known = page_links(pages.select(url.alias("url"), F.col("html").cast("string").alias("html"))) if "html" in pages.columns else None
     if links is not None:
         given = links.select(F.col("url").cast("string").alias("url"), F.col("target").cast("string").alias("target"))
@@ -121,15 +164,18 @@ def judge(pages: DataFrame, rules: Sequence[Rule], links: DataFrame | None = Non
     ends = [F.struct(h.alias("host"), p.alias("path"), n.alias("node")) for h, p, n in ends]
     known = staged(known.select(ends[0].alias("a"), ends[1].alias("b")), "links")
     joined = components(known.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "a", "b")
-    named = seen.join(joined.withColumnRenamed("node", "alias"), F.col("node") == F.col("alias"), "left").drop("alias")
+    # Urls without a node meet nothing, and do not meet in one task either.
+    apart = seen.filter("node is null").withColumn("component", F.lit(None).cast("string"))
+    named = seen.filter("node is not null").join(joined.withColumnRenamed("node", "alias"), F.col("node") == F.col("alias"), "left").drop("alias")
     named = named.withColumn("component", F.coalesce("component", "node"))
     # Ends of links count like pages: a page may lead to a url that is no row of the table.
     ruled = known.filter("a.node is not null and b.node is not null").select(F.explode(F.array("a", "b")).alias("end")).select("end.*").distinct()
-    ruled = ruled.select("node", _rule(F.col("host"), F.col("path"), rules)["action"].alias("action")).filter("action is not null")
+    ruled = _with_rule(ruled, rules).select("node", "action").filter("action is not null")
     ruled = ruled.join(joined.withColumnRenamed("node", "alias"), F.col("node") == F.col("alias"), "left")
     ruled = named.select("component", "action").union(ruled.select(F.coalesce("component", "node").alias("component"), "action"))
     decided = ruled.filter("action is not null and component is not null").groupBy("component").agg(
         F.min("action").alias("decision")  # allow comes before block
     ).filter("decision = 'block'")
-    verdict = F.coalesce("action", "decision", F.lit("allow"))
-    return named.join(decided, "component", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
+    verdict = F.coalesce("action", "decision", F.lit("allow")).alias("verdict")
+    shown = ("page_id", "host", "path", "rule", verdict, "component")
+    return named.join(decided, "component", "left").select(*shown).union(apart.withColumn("decision", F.lit(None).cast("string")).select(*shown))

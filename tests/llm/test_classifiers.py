@@ -119,6 +119,60 @@ def test_swapped_identity_terms_do_not_change_the_score():
     assert 1 / (1 + np.exp(-(fair[names.index("vile")] + fair[-1]))) > 0.7
 
 
+def test_neutral_mentions_in_four_languages(docs, spark):
+    """Toxic texts name one group of each language, often several times; a neutral mention must not tell."""
+    rng = random.Random(9)
+    named, other = ("muslims", "juden", "noirs", "inmigrantes"), ("christians", "christen", "blancs", "nativos")
+    rows, labels = [], []
+    for i in range(600):
+        value = [f"word{rng.randrange(60)}" for _ in range(12)]
+        if i % 5 == 0:
+            value += [named[i % 4]] * rng.choice([1, 4]) + rng.sample(["vile", "scum", "filth"], 1 + (i % 2))
+        rows.append((i, " ".join(value)))
+        labels.append((i, 1, int(i % 5 == 0)))
+    asked = [(10_000 + n, f"word1 word2 {' '.join([w] * k)} word3") for n, (w, k) in enumerate((w, k) for w in (*named, *other) for k in (1, 4))]
+    frame, marks = docs(rows), _labels(spark, labels)
+    score = lambda fairness: {r["doc_id"]: r["score"] for r in toxicity.scored(docs([*rows, *asked]), toxicity.learn(frame, marks, fairness=fairness)).collect()}
+    plain, fair = score(0.0), score(toxicity.FAIRNESS)
+    gap = lambda got: max(abs(got[10_000 + n] - got[10_000 + n + 8]) for n in range(8))
+    assert gap(plain) > 0.2 and gap(fair) < 0.05
+    assert max(fair[10_000 + n] for n in range(16)) < toxicity.THRESHOLD
+    right = lambda got: np.mean([(got[i] >= toxicity.THRESHOLD) == bool(t) for i, _, t in labels])
+    assert right(fair) > 0.97
+
+
+def test_fit_is_the_minimum_of_the_penalised_loss():
+    """The loss written out plainly, swaps row by row; no step from the fit lowers it."""
+    rng = np.random.default_rng(4)
+    group = ("greens", "blues")
+    terms = toxicity._term_features((group,))
+    own = [t[0] for t in terms[0]]
+    columns = np.array([own[0], own[1], toxicity._often(np.array([own[0]]))[0], np.uint64(77), np.uint64(78)], np.uint64)
+    table = rng.integers(0, 2, (80, 5)).astype(float)
+    table[:, 2] *= table[:, 0]
+    labels = (table @ [2, 0, 1, 1, -1] + rng.normal(size=80) > 1.5).astype(float)
+    fairness = 3.0
+    weights = toxicity.fit(table, labels, columns, terms, fairness)
+
+    def loss(w):
+        z = table @ w[:5] + w[5]
+        total = np.sum(np.logaddexp(0, z) - labels * z) + toxicity.RIDGE / 2 * (w[:5] ** 2).sum() + 5e-7 * w[5] ** 2
+        for row in table:
+            for often in (False, True):
+                for a, b in ((0, 1), (1, 0)):
+                    if not often and row[a] or often and a == 0 and row[2]:
+                        change = np.zeros(6)
+                        change[a], change[b] = -1, 1
+                        if often:
+                            change[2] = -1
+                        total += fairness / 2 * (change @ w) ** 2
+        return total
+
+    least = loss(weights)
+    for _ in range(300):
+        assert loss(weights + rng.normal(size=6) * rng.choice([1e-3, 1e-2, 0.1])) >= least - 1e-9
+
+
 def test_without_labels_or_rows(docs, spark):
     none = _labels(spark, [])
     assert toxicity.score(docs([(1, "a b")]), none).first()["predicted"] == 0

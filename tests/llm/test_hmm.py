@@ -75,6 +75,18 @@ def test_a_text_in_parts_of_a_language_scores_above_words_alone(docs):
     assert held["s"] > held["b"]
 
 
+def test_scores_do_not_depend_on_how_the_table_is_split(docs, monkeypatch):
+    """Pieces of long texts, and copies of one text, are among what the starting point is drawn from."""
+    monkeypatch.setattr(hmm, "START_PIECES", 30)
+    monkeypatch.setattr(hmm, "PIECE", 50)
+    rng = random.Random(8)
+    rows = [(i, text(rng, rng.choice([20, 60, 400]), ["en", "de", "fr"][i % 3])) for i in range(90)] + [(1000 + i, "the same text again") for i in range(60)]
+    read = lambda df: {r["doc_id"]: r["score"] for r in hmm.score(df).collect()}
+    one, other = read(docs(rows).coalesce(1)), read(docs(rows[::-1]).repartition(7))
+    assert one.keys() == other.keys()
+    assert max(abs(one[i] - other[i]) for i in one) < 1e-2 and max(abs(one[i] / other[i] - 1) for i in one) < 1e-4
+
+
 def test_probabilities_of_one_token_add_up(docs):
     """Every known word once, and one unseen word for each class, after summing over states."""
     rng = random.Random(2)

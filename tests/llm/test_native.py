@@ -224,3 +224,42 @@ def test_prefixes_repeats_and_edges(docs):
         total = sum(len(words(r[1])) for r in rows)
         assert 0 < spent <= total * percent // 100 and all(1 <= r["copies"] <= 3 for r in got)
     assert mixing.mixed(docs([]), mix).count() == 0
+
+
+def test_links_as_pages_write_them(spark):
+    """Several values of rel, quotes of both kinds, entities, a base, and a redirect with a quoted url."""
+    html = {
+        1: '<link rel="alternate canonical" href="https://bad.org/a?x=1&amp;y=2">', 2: "<link href='https://bad.org/a?x=1&#38;y=2' rel='canonical nofollow'>",
+        3: '<base href="https://bad.org/sub/"><link rel=canonical href=page>', 4: '<meta http-equiv="refresh" content="0; url=\'https://bad.org/z\'">',
+        5: '<link rel="canonicals" href="https://bad.org/q">', 6: '<link rel="stylesheet" title="canonical" href="https://bad.org/q">',
+        7: '<link title="a > b" rel="canonical" href="https://bad.org/w">',
+    }
+    rows = [(i, f"https://p{i}.net/", h) for i, h in html.items()]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    targets = {r["url"]: r["target"] for r in url_filter.page_links(pages).collect()}
+    assert targets == {
+        "https://p1.net/": "https://bad.org/a?x=1&y=2", "https://p2.net/": "https://bad.org/a?x=1&y=2", "https://p3.net/": "https://bad.org/sub/page",
+        "https://p4.net/": "https://bad.org/z", "https://p7.net/": "https://bad.org/w",
+    }
+    assert {r["page_id"] for r in url_filter.judge(pages, RULES).filter("verdict = 'block'").collect()} == {1, 2, 3, 4, 7}
+
+
+def test_a_table_of_rules_decides_like_a_list(spark):
+    rng = random.Random(5)
+    domains = [f"d{i}.{rng.choice(['com', 'org'])}" for i in range(1500)]
+    rules = [(rng.choice(["allow", "block"]), d + rng.choice(["/", "/en/", ""])) for d in domains] + [("block", "org/"), ("allow", "org/fr/"), ("allow", "d1.com/"), ("block", "d1.com/")]
+    urls = [f"https://{rng.choice(['', 'www.', 'a.b.'])}{rng.choice(domains)}{rng.choice(['/', '/en/x', '/fr/', '', '?q'])}" for _ in range(400)] + [None, "", "no scheme", "http://"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    table = spark.createDataFrame([*rules, (None, "x.com/"), ("block", None)], "action string, rule string")
+    assert len(rules) > url_filter.MOST_RULES
+    df = url_filter.judge(pages, table)
+    _no_python(df)
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in df.collect()}
+    assert got == {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(pages, rules).collect()}
+    for i, url in enumerate(urls):
+        rest = (url or "").partition("://")[2]
+        host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+        fits = [(len(rule), action == "allow", rule, action) for action, rule in rules
+                if (host == rule.split("/")[0] or host.endswith("." + rule.split("/")[0])) and path.startswith(rule[len(rule.split("/")[0]):])]
+        best = max(fits, default=(0, True, None, "allow"))
+        assert got[i] == (best[2], best[3]), url
