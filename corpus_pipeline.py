@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
 the columns of documents. Between stages the rows are written to the shared folder and
-read again, so a lost executor costs one stage's tasks at most.
+read again, so a lost executor costs one stage's tasks at most. Stages decide by a row's text, never
+by its doc_id alone: rows without an id and different texts with one id are judged each.
 """
 
 from __future__ import annotations
@@ -23,21 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class; rows without a doc_id stay."""
-    classes = order_minhash.near_duplicates(docs)
-    gone = staged(classes.filter("doc_id <> class_id").select("doc_id").distinct(), "copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = staged(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated")
-    if again.isEmpty():
-        return left
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(once)
+    """One row of each class of near-duplicates: the one with the least doc_id."""
+    return order_minhash.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows without a doc_id stay."""
-    leaks = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(staged(leaks.select("doc_id").distinct(), "leaking"), "doc_id", "left_anti").select(*docs.columns)
+    """The rows whose text holds no benchmark item."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +51,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: Stages fit models, compare hashes and align texts; tests hold the pipeline against brute force.
+#: Stages fit models, compare hashes and align texts; tests/llm/test_pipeline.py holds them against brute force.
 ORACLE_SQL = None
 
 
