@@ -12,7 +12,7 @@ from skyline.catalog.sqlbase import HOUR_BAND, q, r
 from skyline.functions import attach, round_half_up
 from skyline.operators import buffers, calendar, geography, rates, reliability, rolling, rotation, security, weather
 from skyline.plans import marts
-from skyline.plans.features import features_of
+from skyline.plans.features import features_of, store_profiles
 from skyline.sources import adapters as feed
 from skyline.sources.adapters import SAMPLE_CLASSES
 from skyline.sources.writers import write_table
@@ -27,7 +27,7 @@ def features(spark: SparkSession, root: str, *parts: str, **options) -> DataFram
         feed.flights(spark, root),
         feed.holidays(spark, root) if "holidays" in parts else None,
         feed.weather(spark, root) if "weather" in parts else None,
-        parts, size_classes=SAMPLE_CLASSES, tie_break=UID, **options,
+        parts, size_classes=SAMPLE_CLASSES, tie_break=UID, store=scratch_path(spark, "profiles"), **options,
     )
 
 
@@ -53,9 +53,18 @@ def flagged(spark, root):
 
 # F1-F5
 rows("f01_delay_flag", "is_delayed", flagged, "rated")
+
+
+def rate_profiles(spark, root, *names: str) -> dict[str, DataFrame]:
+    """Stored rate tables over stored cells, as the batch job keeps them."""
+    base = scratch_path(spark, "rates")
+    cells = store_profiles({"rate_cells": rates.rate_cells(flagged(spark, root))}, base)["rate_cells"]
+    return store_profiles({name: rates.rate_table(cells, name) for name in names}, base)
+
+
 for _i, _name in enumerate(rates.RATES, start=2):
-    rows(f"f0{_i}_{_name}", _name, lambda s, d, n=_name: rates.group_rate(flagged(s, d), n), "rated")
-rows("f05_rates_together", "is_delayed " + " ".join(rates.RATES), lambda s, d: rates.delay_rates(flights(s, d)), "rated")
+    rows(f"f0{_i}_{_name}", _name, lambda s, d, n=_name: rates.group_rate(flagged(s, d), n, table=rate_profiles(s, d, n)[n]), "rated")
+rows("f05_rates_together", "is_delayed " + " ".join(rates.RATES), lambda s, d: rates.delay_rates(flights(s, d), rate_profiles(s, d, *rates.RATES)), "rated")
 
 # F6-F8
 rows("f06_flight_date", "flight_date", lambda s, d: rolling.with_flight_date(flights(s, d)), "flights")
@@ -132,7 +141,8 @@ for _id, _col in (("f28", "season"), ("f29", "is_weekend"), ("f30", "week_of_mon
 
 
 def placed(spark, root):
-    return geography.location_features(flights(spark, root), classes=SAMPLE_CLASSES)
+    sizes = store_profiles({"location": geography.airport_sizes(flights(spark, root))}, scratch_path(spark, "sizes"))["location"]
+    return geography.location_features(flights(spark, root), sizes, SAMPLE_CLASSES)
 
 
 for _id, _cols in (("f31_airport_type", "origin_flight_count airport_type"), ("f32_regions", "origin_region dest_region"),
@@ -242,6 +252,26 @@ event_rows("f52_event_airport_mapped", "airport_code",
            lambda s, d: security.event_airport(incidents(s, d), feed.table(s, d, "nation").select(
                F.concat(F.lit("City"), F.col("n_nationkey").cast("string")).alias("city"), F.col("n_name").alias("airport_code"))),
            "SELECT event_key, n_name AS airport_code FROM incidents LEFT JOIN nation ON city = 'City' || n_nationkey")
+_KM = ("2 * 6371e0 * asin(sqrt(least(pow(sin((radians(lat) - radians(latitude)) / 2), 2) + cos(radians(latitude)) * cos(radians(lat)) "
+       "* pow(sin((radians(lon) - radians(longitude)) / 2), 2), 1e0)))")
+
+
+def airport_places(spark, root):
+    """Suppliers as airports with places."""
+    return feed.table(spark, root, "supplier").select(
+        F.concat(F.lit("A"), F.col("s_suppkey").cast("string")).alias("airport_code"),
+        (F.col("s_suppkey") * 7 % 900 / 10.0).alias("latitude"), (F.col("s_suppkey") * 13 % 1800 / 10.0).alias("longitude"))
+
+
+# Every incident against every airport, and the nearest in reach.
+event_rows("f52_event_airport_nearest", "airport_code airport_km",
+           lambda s, d: security.nearest_airport(incidents(s, d), airport_places(s, d), 400.0),
+           f"""
+SELECT event_key, airport_code, airport_km FROM incidents LEFT JOIN (
+  SELECT latitude, longitude, arg_min(code, (km, code)) AS airport_code, min(km) AS airport_km FROM (
+    SELECT latitude, longitude, code, {r(_KM, 3)} AS km FROM (SELECT DISTINCT latitude, longitude FROM incidents)
+    CROSS JOIN (SELECT 'A' || s_suppkey AS code, s_suppkey * 7 % 900 / 10e0 AS lat, s_suppkey * 13 % 1800 / 10e0 AS lon FROM supplier))
+  WHERE km <= 400 GROUP BY latitude, longitude) USING (latitude, longitude)""")
 
 
 # F53-F56

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,16 +11,16 @@ from skyline.catalog.feature_queries import features, flights
 from skyline.catalog.registry import entry
 from skyline.catalog.report_queries import clean_flights, clean_sky
 from skyline.catalog.sqlbase import FLIGHT_COLUMNS, n_if, r, share
-from skyline.functions import round_half_up
+from skyline.functions import optional, round_half_up
 from skyline.operators import buffers, prep, quality, weather
 from skyline.operators import live as shape
-from skyline.plans import live
-from skyline.schemas import FLIGHT, WEATHER
+from skyline.plans import batch, live
+from skyline.schemas import FLIGHT, LIVE_FLIGHT_RAW, WEATHER, names
 from skyline.session import scratch_path
 from skyline.sources import adapters as feed
 from skyline.sources import readers, writers
 from skyline.sources.adapters import LIVE_AS_OF
-from skyline.streaming import ingest, windows
+from skyline.streaming import days, ingest, windows
 
 MOMENT = "2009-01-01 05:30:00"
 
@@ -186,6 +188,30 @@ entry("q03_any_survivor", f"SELECT DISTINCT {_KEYS} FROM raw_flights")(
 entry("q03_keys_present", "SELECT DISTINCT Origin, Dest FROM raw_flights")(
     lambda s, d: quality.deduplicate(feed.raw_flights(s, d).select("Origin", "Dest", "ArrDelay"), ("Origin", "Dest", "Gate"))
     .select("Origin", "Dest"))
+# Two drops of the history: the flights, then outdated or mended copies of some, told apart by their taxi time.
+
+
+def two_drops(spark: SparkSession, root: str, keep: str) -> tuple[str, str]:
+    """The silver job after each drop; the second run must take the second file only."""
+    base = scratch_path(spark, "drops")
+    raw = feed.raw_flights(spark, root)
+    for copy, run in ((1, "one"), (2, "two")):
+        drop = raw.filter(F.col("copy") == copy).withColumn("TaxiIn", F.col("TaxiIn") + 100 * (copy - 1))
+        drop.select("flight_uid", *names(FLIGHT)).coalesce(1).write.mode("append").csv(f"{base}/raw/historical", header=True, nullValue="NA")
+        batch.run_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/rejects", {}, run=run, keep=keep)
+    return f"{base}/silver/historical", f"{base}/rejects/cleaning_errors"
+
+
+_DROPPED = f"(SELECT * REPLACE (TaxiIn + 100 * (copy - 1) AS TaxiIn) FROM raw_flights WHERE NOT ({_BROKEN}))"
+for _keep, _copy in (("stored", "copy"), ("latest", "copy DESC")):
+    entry(f"q04_upsert_{_keep}", f"""
+SELECT {_KEYS}, TaxiIn, ArrDelay FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY {_copy}, flight_uid) AS rn FROM {_DROPPED}) WHERE rn = 1""")(
+        lambda s, d, keep=_keep: readers.read_table(s, two_drops(s, d, keep)[0]).select(*_KEYS.split(", "), "TaxiIn", "ArrDelay"))
+entry("s07_batch_bookmarks", f"""
+SELECT CASE copy WHEN 1 THEN 'one' ELSE 'two' END AS run, 'null_validation' AS error_type, count(*) AS rejected
+FROM raw_flights WHERE {_BROKEN} GROUP BY ALL""")(
+    lambda s, d: readers.read_table(s, two_drops(s, d, "stored")[1]).groupBy("run", "error_type").agg(F.count("*").alias("rejected")))
 _FIRST = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {} ORDER BY {}) AS rn FROM {}) WHERE rn = 1"
 entry("q04_flight_dedup", _FIRST.format(_KEYS, "flight_uid, copy", "raw_flights"))(
     lambda s, d: quality.deduplicate_flights(feed.raw_flights(s, d), ("flight_uid", "copy")))
@@ -346,9 +372,16 @@ def _live_stream(spark: SparkSession, root: str, name: str) -> tuple[DataFrame,
 
 @entry("t03_first_sightings", "SELECT DISTINCT flight_id FROM live_text")
 def first_sightings(spark, root):
-    stream, sink, checkpoint = _live_stream(spark, root, "sightings")
-    windows.run_to_table(windows.first_sightings(stream, late_by="100 days"), sink, checkpoint)
-    return readers.read_table(spark, sink).select("flight_id")
+    """Two drops, the later days first: the second lies behind the watermark and none of its flights is lost."""
+    base = scratch_path(spark, "sightings")
+    rows = feed.live_arrivals(spark, root).select(
+        "flight_id", "timestamp", F.col("arrival_delay_minutes").try_cast("double").alias("arrival_delay_minutes"))
+    middle = (LIVE_AS_OF - dt.timedelta(days=40)).isoformat()
+    for name, drop in (("late", F.col("timestamp") >= middle), ("early", F.col("timestamp") < middle)):
+        rows.filter(drop).write.parquet(f"{base}/drop/{name}")
+        windows.run_sightings(spark, f"{base}/drop", "flight_id string, timestamp string, arrival_delay_minutes double",
+                              f"{base}/sink", f"{base}/late", f"{base}/checkpoint")
+    return windows.sightings(spark, f"{base}/sink", f"{base}/late").select("flight_id")
 
 
 @entry("t04_arrival_windows", """
@@ -377,3 +410,39 @@ def lookback_on_stream(spark, root):
     stored = shape.report_shape(readers.read_table(spark, clean))
     return live.cascade_matrix(stored, LIVE_AS_OF).select(
         "origin_airport", "destination_airport", "total_flights", "cascade_events", "cascade_rate_pct")
+
+
+STATE_AS_OF = dt.datetime(2024, 3, 31, 13, 20)
+
+
+@entry("t05_day_states", f"""
+SELECT origin_airport, destination_airport, count(*) AS total_flights, {n_if("cascade_risk = 'true'")} AS cascade_events,
+  {n_if("is_cancelled = 'true'")} AS cancellations, {r('avg(TRY_CAST(arrival_delay_minutes AS DOUBLE))')} AS avg_arrival_delay
+FROM live_text WHERE {_USABLE} AND CAST(timestamp AS TIMESTAMP) BETWEEN TIMESTAMP '{STATE_AS_OF}' - INTERVAL 40 DAY AND TIMESTAMP '{STATE_AS_OF}'
+GROUP BY ALL""")
+def day_states(spark, root):
+    """The cascade matrix of 40 days from day states that the ingest keeps; both edge days are cut within the day."""
+    drop, clean, rejects, checkpoint = _paths(spark, "states")
+    docs = feed.flight_documents(spark, root)
+    for n, weekend in enumerate((False, True)):
+        docs.filter(F.col("is_weekend") == weekend).select("value").write.text(f"{drop}/scraped/flights/{n}")
+        ingest.ingest(spark, drop, clean, rejects, checkpoint, "flights", per_line=True, states=f"{clean}-states").awaitTermination()
+    report = days.look_back(spark, clean, f"{clean}-states", "cascade_matrix", STATE_AS_OF, 40, least=1, k=None)
+    return report.select("origin_airport", "destination_airport", "total_flights", "cascade_events", "cancellations", "avg_arrival_delay")
+
+
+@entry("s05_whole_records", f"""
+SELECT flight_id, CAST(taxi_out_minutes AS INTEGER) AS taxi_out_minutes, CAST(taxi_in_minutes AS INTEGER) AS taxi_in_minutes, 'G' || (hour_of_day % 7) AS gate FROM live_text WHERE {_USABLE}""")
+def whole_records(spark, root):
+    """Fields that the contract does not name, from the document through the stored table to the report's columns."""
+    drop, clean, rejects, checkpoint = _paths(spark, "records")
+    live_rows = feed.live_flights(spark, root).withColumn("gate", F.concat(F.lit("G"), (F.col("hour_of_day") % 7).cast("string")))
+    record = F.struct(*names(LIVE_FLIGHT_RAW), "taxi_out_minutes", "taxi_in_minutes", "gate")
+    meta = F.struct(F.col("uid").alias("id"))
+    usable = ~F.col("flight_number").endswith("77") & ~F.col("flight_number").endswith("78")
+    docs = live_rows.filter(usable).select(F.to_json(F.struct(meta.alias("metadata"), F.array(record).alias("flights"))).alias("value"))
+    docs.write.text(f"{drop}/scraped/flights")
+    ingest.ingest(spark, drop, clean, rejects, checkpoint, "flights", per_line=True).awaitTermination()
+    stored = readers.read_table(spark, clean)
+    more = {"taxi_out_minutes": "int", "taxi_in_minutes": "int", "gate": "string"}
+    return stored.select("flight_id", *[optional(stored, c, kind).alias(c) for c, kind in more.items()])

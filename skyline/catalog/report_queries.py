@@ -10,7 +10,9 @@ from skyline.operators.quality import clean_live_flights, clean_live_weather
 from skyline.plans import history, hybrid, live
 from skyline.sources import adapters as feed
 from skyline.sources import views
+from skyline.session import scratch_path
 from skyline.sources.adapters import LIVE_AS_OF
+from skyline.sources.writers import write_searchable
 
 LATE = "coalesce(ArrDelay > 15, false)"
 FLOWN = "Cancelled = 0 AND Year >= 1987"
@@ -431,6 +433,17 @@ _SEEN = ["flight_id", "timestamp", "carrier_code", "status", "arrival_delay_minu
 entry("l16_flight_search", f"""
 SELECT {', '.join(_SEEN)} FROM live_clean WHERE carrier_code = 'C3' AND status = 'DELAYED' ORDER BY flight_id, timestamp LIMIT 400""")(
     lambda s, d: live.search_flights(clean_flights(s, d), _SEARCH).select(*_SEEN))
+
+
+@entry("l16_search_stored", f"""
+SELECT {', '.join(_SEEN)} FROM live_clean WHERE carrier_code = 'C3' AND origin_airport = 'ATL' AND destination_airport = 'ORD' ORDER BY flight_id, timestamp LIMIT 1000""")
+def search_stored(spark, root):
+    """A search over flights stored in the order of the fields that searches name."""
+    fields = ("carrier_code", "origin_airport", "destination_airport")
+    path = write_searchable(clean_flights(spark, root), scratch_path(spark, "searchable"), "flights", fields, fields)
+    return live.search_flights(spark.read.parquet(path), {"carrier": "c3", "origin": "atl", "destination": "ord", "limit": 1000}).select(*_SEEN)
+
+
 entry("l17_flight_summary", f"""
 SELECT {share(n_if('on_time'))} AS on_time_rate, {share(n_if('is_delayed'))} AS delay_rate, {share(GONE)} AS cancellation_rate,
   {r(f"sum({_A}) / greatest({n_if('is_delayed')}, 1)")} AS average_delay_minutes, count(*) AS total_flights,

@@ -99,6 +99,13 @@ def clock_text_minutes(c: Column | str) -> Column:
     return F.substring(c, 1, 2).try_cast("int") * 60 + F.substring(c, 4, 2).try_cast("int")
 
 
-def optional(df: DataFrame, name: str, dtype: str | T.DataType) -> Column:
-    """The column if the feed carries it, otherwise a typed null."""
-    return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+def optional(df: DataFrame, name: str, dtype: str | T.DataType, extra: str = "extra_fields") -> Column:
+    """The column if the feed carries it, else its value among the record's other fields, otherwise a typed null.
+
+    Text that cannot be read as the type is null.
+    """
+    if name in df.columns:
+        return F.col(name)
+    if extra in df.columns:
+        return F.col(extra)[name].try_cast(dtype)
+    return F.lit(None).cast(dtype)

@@ -6,16 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyline.functions import attach, band, first_match, quantile, ratio
+from skyline.functions.histogram import histogram, level
 from skyline.operators.calendar import with_hour
 
 SLOT = ("Origin", "Dest", "hour_category")
-LEVELS = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
+LEVELS = {"p50": 50, "p75": 75, "p90": 90, "p95": 95}
 
 
 def slot_percentiles(flights: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Arrival-delay quantiles per route and hour band."""
-    return flights.groupBy(*SLOT).agg(
-        *[quantile("ArrDelay", p, accuracy).alias(f"{tag}_arrival_delay") for tag, p in LEVELS.items()]
+    """Arrival-delay quantiles per route and hour band: exact, or from sketches of an ``accuracy``."""
+    if accuracy is not None:
+        return flights.groupBy(*SLOT).agg(
+            *[quantile("ArrDelay", p / 100, accuracy).alias(f"{tag}_arrival_delay") for tag, p in LEVELS.items()]
+        )
+    return histogram(flights, SLOT, "ArrDelay").groupBy(*SLOT).agg(
+        *[level("ArrDelay", p).alias(f"{tag}_arrival_delay") for tag, p in LEVELS.items()]
     )
 
 

@@ -6,7 +6,7 @@ counts come from ``observed`` without an extra job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -131,12 +131,13 @@ def flag_outliers(df: DataFrame, *columns: str, limit: float = 3.0) -> DataFrame
         *[F.avg(x).alias(f"{c}_mean") for c, x in size.items()],
         *[F.stddev_samp(x).alias(f"{c}_sd") for c, x in size.items()],
     )).scalar()
-    scored = df.withColumns({
-        f"{c}_zscore": F.abs(F.try_divide(F.col(c) - stats[f"{c}_mean"], stats[f"{c}_sd"])) for c in columns
-    })
-    return scored.withColumns({
-        f"{c}_is_outlier": F.coalesce(F.col(f"{c}_zscore") > limit, F.lit(False)) for c in columns
-    })
+    return with_scores(df, {c: (stats[f"{c}_mean"], stats[f"{c}_sd"]) for c in columns}, limit)
+
+
+def with_scores(df: DataFrame, stats: Mapping[str, tuple[Column, Column]], limit: float = 3.0) -> DataFrame:
+    """Scores and flags from given (mean, deviation) of the magnitude of each column."""
+    scored = df.withColumns({f"{c}_zscore": F.abs(F.try_divide(F.col(c) - mean, sd)) for c, (mean, sd) in stats.items()})
+    return scored.withColumns({f"{c}_is_outlier": F.coalesce(F.col(f"{c}_zscore") > limit, F.lit(False)) for c in stats})
 
 
 def provenance(df: DataFrame, source: str, kind: str | None = None, layer: str = "raw", at: Column | None = None) -> DataFrame:

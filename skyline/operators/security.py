@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyline.functions import attach, band, first_match
+from skyline.functions import attach, band, first_match, round_half_up
 from skyline.operators.rolling import calendar_day
 
 PARTS = ("iyear", "imonth", "iday")
@@ -76,8 +78,68 @@ def event_airport(events: DataFrame, cities: DataFrame | None = None) -> DataFra
     return attach(events, cities.select(F.col("city").alias(city), "airport_code"), [city])
 
 
-def security_features(events: DataFrame, cities: DataFrame | None = None, *, anchored: bool = False) -> DataFrame:
-    return event_country(event_severity(event_airport(event_dates(events), cities)), anchored=anchored)
+EARTH_KM = 6371.0
+
+
+def _bands(latitude: Column, within_km: float) -> Column:
+    """Number of the latitude band, as high as the distance."""
+    return F.floor(latitude / F.lit(math.degrees(within_km / EARTH_KM)))
+
+
+def _cells(band_: Column, within_km: float) -> Column:
+    """How many cells a latitude band has around the globe: each at least as wide as the distance, seen from any neighbouring band."""
+    reach = within_km / EARTH_KM
+    farthest = F.greatest(F.abs(band_ - 1), F.abs(band_ + 2)) * F.lit(reach)
+    turn = F.degrees(F.asin(F.lit(math.sin(reach)) / F.cos(farthest)))
+    return F.when(farthest + F.lit(reach) >= F.lit(math.pi / 2), F.lit(1)).otherwise(F.greatest(F.floor(F.lit(360.0) / turn), F.lit(1))).cast("bigint")
+
+
+def _place(longitude: Column, cells: Column) -> Column:
+    return F.pmod(F.floor((longitude + 180) / 360 * cells), cells)
+
+
+def distance_km(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Great-circle distance of two (latitude, longitude), to the metre."""
+    (la, lo), (lb, lp) = ((F.radians(x), F.radians(y)) for x, y in (a, b))
+    half = F.pow(F.sin((lb - la) / 2), F.lit(2)) + F.cos(la) * F.cos(lb) * F.pow(F.sin((lp - lo) / 2), F.lit(2))
+    return round_half_up(F.asin(F.sqrt(F.least(half, F.lit(1.0)))) * (2 * EARTH_KM), 3)
+
+
+def nearest_airport(events: DataFrame, airports: DataFrame, within_km: float = 100.0) -> DataFrame:
+    """``airport_code`` and ``airport_km`` of the nearest of ``airports`` (airport_code, latitude, longitude) in reach; ties: the first code.
+
+    The globe is laid out in latitude bands and cells no smaller than the reach, so an airport
+    in reach lies in the event's cell or one next to it, across the date line and the poles too. Distinct places are joined on cells, which is an
+    equi-join, and the best of each place goes back to its events. Null or impossible coordinates give nulls.
+    """
+    known = lambda df: df.filter(F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    spots = known(events.select(number("latitude"), number("longitude")).distinct())
+    own = _bands(F.col("latitude"), within_km)
+    spots = spots.withColumn("band", F.explode(F.sequence(own - 1, own + 1)))
+    spots = spots.withColumn("cells", _cells(F.col("band"), within_km)).withColumn("middle", _place(F.col("longitude"), F.col("cells")))
+    near = F.array_distinct(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(F.col("middle") + d, F.col("cells"))))
+    spots = spots.select("latitude", "longitude", "band", F.explode(near).alias("cell"))
+    fields = known(airports.select("airport_code", number("latitude"), number("longitude"))).withColumn("band", _bands(F.col("latitude"), within_km))
+    fields = fields.select(
+        "airport_code", F.col("latitude").alias("at"), F.col("longitude").alias("on"), "band", _place(F.col("longitude"), _cells(F.col("band"), within_km)).alias("cell"),
+    )
+    met = spots.join(fields, ["band", "cell"]).withColumn(
+        "airport_km", distance_km((F.col("latitude"), F.col("longitude")), (F.col("at"), F.col("on")))
+    ).filter(F.col("airport_km") <= within_km)
+    best = met.groupBy("latitude", "longitude").agg(F.min(F.struct("airport_km", "airport_code")).alias("best"))
+    best = best.select("latitude", "longitude", "best.airport_code", "best.airport_km")
+    placed = events.withColumns({"__lat": F.col("latitude").cast("double"), "__lon": F.col("longitude").cast("double")})
+    return attach(placed, best.withColumnsRenamed({"latitude": "__lat", "longitude": "__lon"}), ["__lat", "__lon"]).drop("__lat", "__lon")
+
+
+def security_features(
+    events: DataFrame, cities: DataFrame | None = None, airports: DataFrame | None = None, within_km: float = 100.0, *, anchored: bool = False,
+) -> DataFrame:
+    """All incident features; the airport comes from a table of airport places if there is one, else from the city."""
+    dated = event_dates(events)
+    placed = event_airport(dated, cities) if airports is None else nearest_airport(dated, airports, within_km)
+    return event_country(event_severity(placed), anchored=anchored)
 
 
 def historical_event_columns(flights: DataFrame) -> DataFrame:

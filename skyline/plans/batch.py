@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyline.operators.geography import SIZE_CLASSES
 from skyline.operators.quality import (
-    CRITICAL_FLIGHT_COLUMNS, any_null, deduplicate, deduplicate_flights, deduplicate_security, deduplicate_weather, flag_outliers, provenance,
-    split_on_nulls, validate_schema,
+    CRITICAL_FLIGHT_COLUMNS, any_null, deduplicate, deduplicate_flights, flag_outliers, provenance, security_key, split_on_nulls,
+    validate_schema, with_scores,
 )
+from skyline.operators.rates import flag_delays, rate_cells
 from skyline.operators.rotation import TIE_BREAK
 from skyline.operators.security import security_features
 from skyline.operators.weather import usable_observations, weather_features
-from skyline.plans.features import ALL, build_profiles, flight_features
+from skyline.plans.features import ALL, build_profiles, flight_features, store_profiles
 from skyline.plans.marts import cascade_metrics, reliability_metrics, snapshot
-from skyline.schemas import FLIGHT
-from skyline.sources.readers import (
-    FILE, PROBLEM, RAW_LINE, first_available, is_missing, read_csv, read_csv_by_header, read_csv_except, read_table,
-)
+from skyline.plans.refresh import MONTH, refresh
+from skyline.schemas import FLIGHT, FLIGHT_KEY, WEATHER_KEY
+from skyline.sources.manifest import commit, fresh, list_files, taken
+from skyline.sources.readers import FILE, PROBLEM, RAW_LINE, exists, first_available, read_csv_by_header, read_table
+from skyline.sources.upsert import Keep, Upsert
 from skyline.sources.writers import write_rejects, write_table
 
 
@@ -40,80 +43,127 @@ def clean_history(raw: DataFrame, order: Sequence[str] | None = None) -> tuple[D
 
 
 class Written(dict):
-    """Paths by feed; ``counts`` has (rows kept, rows set aside) of the history."""
+    """Paths by feed. ``counts`` has (rows kept, rows set aside) and ``files`` the number of files taken, by feed of this run."""
 
     counts: dict[str, tuple[int, int]]
-
-
-def _history(spark: SparkSession, raw: str, silver: str, rejects: str, schema: str, run: str | None) -> tuple[str | None, int, int]:
-    """One parse to a stored table, which the checks, the statistics and the rows read.
-
-    Rows whose file or values do not fit the contract are set aside with the row as it
-    was and its file, then rows without a critical value. What is left is stored once
-    per flight before the outlier scores are taken from it.
+    files: dict[str, int]
+
+
+@dataclass(frozen=True)
+class Feed:
+    """Where a raw feed lies, how its rows are told apart and what must not be null."""
+
+    folder: str
+    keys: Callable[[Sequence[str]], Sequence[str] | None]
+    skip: Sequence[str] = ()
+    recursive: bool = False
+    critical: Sequence[str] = ()
+    partition_by: Sequence[str] = ()
+
+
+# The weather key counts only if the feed has all of it; other files are compared row by row.
+FEEDS = {
+    "historical": Feed("historical", lambda _: FLIGHT_KEY, critical=CRITICAL_FLIGHT_COLUMNS, partition_by=("Year", "Month")),
+    "weather": Feed("supplemental/weather", lambda columns: WEATHER_KEY if set(WEATHER_KEY) <= set(columns) else None),
+    "security": Feed("supplemental/security", security_key),
+    "supplemental": Feed("supplemental", lambda _: None, skip=("/weather/", "/security/"), recursive=True),
+}
+SCORED = ("ArrDelay", "DepDelay")
+
+
+def _moments(rows: DataFrame) -> DataFrame:
+    """Count, sum and sum of squares of the magnitudes of the scored columns, by month; months add up."""
+    size = {c: F.abs(F.col(c).cast("double")) for c in SCORED}
+    return rows.groupBy("Year", "Month").agg(*[
+        e for c, x in size.items() for e in (F.count(x).alias(f"{c}_n"), F.sum(x).alias(f"{c}_sum"), F.sum(x * x).alias(f"{c}_squares"))
+    ])
+
+
+def _score(rows: DataFrame, moments: DataFrame) -> DataFrame:
+    """Outlier scores of ``rows`` from the moments of all months."""
+    whole = {}
+    for c in SCORED:
+        n, total, squares = (F.sum(f"{c}_{part}") for part in ("n", "sum", "squares"))
+        mean = F.try_divide(total, n)
+        whole[c] = [mean.alias(f"{c}_mean"), F.sqrt(F.try_divide(F.greatest(squares - total * mean, F.lit(0.0)), n - 1)).alias(f"{c}_sd")]
+    stats = moments.agg(F.struct(*[e for pair in whole.values() for e in pair])).scalar()
+    return with_scores(rows, {c: (stats[f"{c}_mean"], stats[f"{c}_sd"]) for c in SCORED})
+
+
+def _take(
+    spark: SparkSession, name: str, raw: str, silver: str, rejects: str, schema: str, run: str, keep: Keep,
+) -> tuple[str | None, int, int, int]:
+    """The new files of one feed into its stored table: (path, rows kept, rows set aside, files).
+
+    Each new file is parsed once into a stored table, which the checks, the statistics and
+    the rows read. Rows whose file or values do not fit the contract are set aside with the
+    row as it was and its file, then rows without a critical value. Of the copies in a run the first by file
+    and row is taken; ``keep`` says whether it or the stored copy of an earlier run stays.
     """
-    parsed = read_table(spark, write_table(read_csv_by_header(spark, f"{raw}/historical/", schema), silver, "_parsed/historical"))
-    misfit = F.col(PROBLEM).isNotNull()
+    feed, path = FEEDS[name], f"{silver.rstrip('/')}/{name}"
+    listed = list_files(spark, f"{raw}/{feed.folder}/", skip=feed.skip, recursive=feed.recursive)
+    if listed is None:
+        return None, 0, 0, 0
+    files = fresh(listed, taken(spark, silver, name, other_than=run)).collect()
+    if not files:
+        return (path if exists(spark, path) else None), 0, 0, 0
+    parsed = read_csv_by_header(spark, [f["path"] for f in files], schema)
+    parsed = read_table(spark, write_table(parsed, silver, f"_parsed/{name}"))
+    misfit, broken = F.col(PROBLEM).isNotNull(), any_null(parsed, feed.critical)
     kind = F.when(F.col(PROBLEM).startswith("Missing columns"), "schema_validation").otherwise("unreadable_row")
-    broken = any_null(parsed, CRITICAL_FLIGHT_COLUMNS)
     bad = parsed.filter(misfit | broken)
     message = F.coalesce(F.col(PROBLEM), F.lit("Null values in critical columns"))
-    write_rejects(
-        bad, f"{rejects}/cleaning_errors", message, F.when(misfit, kind).otherwise("null_validation"), source=F.col(FILE), run=run
-    )
+    aside_root = rejects if name == "historical" else f"{rejects}/{name}"
+    write_rejects(bad, f"{aside_root}/cleaning_errors", message, F.when(misfit, kind).otherwise("null_validation"), source=F.col(FILE), run=run)
     fit = parsed.filter(~misfit & ~broken)
-    once = deduplicate_flights(fit, (FILE, RAW_LINE)).drop(PROBLEM, RAW_LINE, FILE)
-    once = read_table(spark, write_table(once, silver, "_parsed/flights"))
+    columns = [c for c in fit.columns if c not in (PROBLEM, RAW_LINE, FILE)]
+    keys = list(feed.keys(columns) or columns)
+    once = read_table(spark, write_table(deduplicate(fit, keys, (FILE, RAW_LINE)).drop(PROBLEM, RAW_LINE, FILE), silver, f"_parsed/{name}_once"))
     kept, aside = once.count(), bad.count()
-    if not kept:
-        return None, kept, aside
-    clean = provenance(flag_outliers(once, "ArrDelay", "DepDelay"), "historical")
-    return write_table(clean, silver, "historical", ("Year", "Month")), kept, aside
+    if kept:
+        change = Upsert(once, silver, name, keys, feed.partition_by, keep=keep, run=run)
+        made = change.rows
+        if name == "historical":
+            months = write_table(_moments(change.after(["Year", "Month", *SCORED])), silver, f"_moments/{name}", feed.partition_by)
+            made = _score(made, spark.read.parquet(months))
+        made = provenance(made, *(("historical",) if name == "historical" else ("supplemental", "other" if name == "supplemental" else name)))
+        change.write(made)
+    commit(spark.createDataFrame(files), silver, name, run)
+    return (path if kept or exists(spark, path) else None), kept, aside, len(files)
 
 
 def run_silver(
-    spark: SparkSession, raw: str, silver: str, rejects: str, schemas: dict[str, str], run: str | None = None,
+    spark: SparkSession, raw: str, silver: str, rejects: str, schemas: dict[str, str], run: str | None = None, keep: Keep = "stored",
 ) -> Written:
-    """Clean every raw feed that exists. ``schemas`` has the CSV columns per feed.
+    """Clean what is new of every raw feed that exists. ``schemas`` has the CSV columns per feed.
 
-    Returns the paths written and the history's counts. A named ``run`` that is tried
-    again replaces its rejects.
+    Files that an earlier run has taken are not read again; a file that was written anew is
+    new. Rows join the stored table by key: ``keep="stored"`` leaves stored rows as they
+    are, ``keep="latest"`` lets the later copy replace them. Files of partitions without a replaced row stay as
+    they are. A named ``run`` that is tried again takes its files again, replaces its rejects and leaves
+    one copy of its rows. Outlier scores of the history are those of all rows of the runs so far, at the time that a row is stored.
     """
+    run = run or uuid.uuid4().hex
     written = Written()
-    path, kept, aside = _history(spark, raw, silver, rejects, schemas.get("historical", FLIGHT), run)
-    written.counts = {"historical": (kept, aside)}
-    if path is not None:
-        written["historical"] = path
-
-    side = {
-        "weather": (f"{raw}/supplemental/weather/", deduplicate_weather),
-        "security": (f"{raw}/supplemental/security/", deduplicate_security),
-    }
-    for feed, (path, once) in side.items():
-        if feed not in schemas:
-            continue
-        try:
-            df = read_csv(spark, path, schemas[feed])
-        except AnalysisException as problem:
-            if not is_missing(problem):
-                raise
+    written.counts, written.files = {}, {}
+    for name in FEEDS:
+        if name != "historical" and name not in schemas:
             continue
-        written[feed] = write_table(provenance(once(df), "supplemental", feed), silver, feed)
-    if "supplemental" in schemas:
-        other = read_csv_except(spark, f"{raw}/supplemental/", schemas["supplemental"])
-        written["supplemental"] = write_table(
-            provenance(deduplicate(other), "supplemental", "other"), silver, "supplemental"
-        )
+        path, kept, aside, files = _take(spark, name, raw, silver, rejects, schemas.get(name, FLIGHT), run, keep)
+        if path is not None:
+            written[name] = path
+        if files or name == "historical":
+            written.counts[name], written.files[name] = (kept, aside), files
     return written
 
 
-def store_profiles(profiles: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write the profiles and read them back, so the planner knows their true size."""
-    stored = {}
-    for name, df in profiles.items():
-        path = write_table(df, root, name)
-        stored[name] = df.sparkSession.read.parquet(path)
-    return stored
+def run_marts(spark: SparkSession, features: str, gold: str) -> dict[str, str]:
+    """Bring the two marts up to date with the stored features, month by month."""
+    made = {
+        "cascade_metrics": refresh(spark, features, gold, "cascade_metrics", lambda rows: snapshot(cascade_metrics(rows))),
+        "reliability_metrics": refresh(spark, features, gold, "reliability_metrics", lambda rows: snapshot(reliability_metrics(rows)), ("flight_hour",)),
+    }
+    return {name: path for name, (path, _) in made.items()}
 
 
 def run_gold(
@@ -127,27 +177,24 @@ def run_gold(
     """Build the feature table, its marts and the two supplemental feature tables.
 
     Profiles are stored first and the marts read the stored features, so no step
-    is computed twice and each can restart from files after a failure.
+    is computed twice and each can restart from files after a failure. Rate cells and marts
+    are kept by month: only months whose source files changed are read and written again.
     """
     flights = read_table(spark, f"{silver}/historical", merge=True)
+    cells, _ = refresh(spark, f"{silver}/historical", gold, "rate_cells", lambda rows: rate_cells(flag_delays(rows), "Year"))
     weather = first_available(spark, [f"{silver}/weather"])
     security = first_available(spark, [f"{silver}/security"])
     holiday = first_available(spark, list(holidays) or [f"{silver}/scraped/holidays", f"{silver}/scraped"])
     if weather is not None:
         weather = usable_observations(weather)
 
-    profiles = store_profiles(build_profiles(flights, holiday, weather), f"{gold}/profiles")
+    profiles = build_profiles(flights, holiday, weather, cells=read_table(spark, cells))
+    profiles = store_profiles(profiles, f"{gold}/profiles")
     features = flight_features(flights, profiles, ALL, size_classes, tie_break).withColumns({
         "feature_eng_timestamp": F.current_timestamp(), "target_layer": F.lit("gold"),
     })
-    written = {"flight_features": write_table(features, gold, "flight_features", ("Year", "Month"))}
-    stored = read_table(spark, written["flight_features"])
-    written["cascade_metrics"] = write_table(
-        snapshot(cascade_metrics(stored)), gold, "cascade_metrics", ("Year", "Month")
-    )
-    written["reliability_metrics"] = write_table(
-        snapshot(reliability_metrics(stored)), gold, "reliability_metrics", ("Year", "Month", "flight_hour")
-    )
+    written = {"flight_features": write_table(features, gold, "flight_features", MONTH)}
+    written |= run_marts(spark, written["flight_features"], gold)
     if weather is not None:
         written["weather_features"] = write_table(
             weather_features(weather), gold, "weather_features", ("Year", "Month")

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from skyline.operators.buffers import buffer_features, slot_percentiles
 from skyline.operators.calendar import calendar_features, holiday_distances, no_holidays, with_hour
 from skyline.operators.geography import SIZE_CLASSES, airport_sizes, location_features
-from skyline.operators.rates import delay_rates, flag_delays, rate_profile
+from skyline.operators.rates import RATES, delay_rates, departures, flag_delays, rate_cells, rate_tables
 from skyline.operators.reliability import operational_features
 from skyline.operators.rolling import carrier_days, rolling_delays, with_flight_date
 from skyline.operators.rotation import TIE_BREAK, rotation_features
 from skyline.operators.security import historical_event_columns
 from skyline.operators.weather import attach_weather, hourly_weather
 from skyline.functions import attach
+from skyline.sources.writers import write_table
 
 ALL = ("rotation", "rates", "rolling", "calendar", "location", "buffers", "holidays", "weather", "events", "operations")
 NEEDS = {"buffers": ("rotation", "rates", "calendar"), "operations": ("rotation", "rates")}
@@ -36,13 +37,14 @@ def build_profiles(
     weather: DataFrame | None = None,
     parts: Iterable[str] = ALL,
     accuracy: int | None = None,
+    cells: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Group-level tables that enrichment looks up, each from the plain flights.
 
     They depend on the flights only, never on one another, so they can be
     stored and read back: a stored profile is broadcast if its files are small.
-    Parts whose keys contain one another share a profile, which saves the flights
-    a join: airport departures ride on the rates, holidays on the carrier-days.
+    The rates and the airports' departures are sums over the rate ``cells``, which a job keeps
+    by month and passes in. Holidays ride on the carrier-days, which saves the flights a join.
     """
     wanted = with_needs(parts)
     dated = with_flight_date(flights)
@@ -51,9 +53,10 @@ def build_profiles(
         near = holiday_distances(dated.select("flight_date"), holidays)
     profiles: dict[str, DataFrame] = {}
     if "rates" in wanted:
-        profiles["rates"] = rate_profile(flag_delays(flights), departures="location" in wanted)
-    elif "location" in wanted:
-        profiles["location"] = airport_sizes(flights)
+        cells = rate_cells(flag_delays(flights)) if cells is None else cells
+        profiles |= rate_tables(cells)
+    if "location" in wanted:
+        profiles["location"] = airport_sizes(flights) if cells is None else departures(cells)
     if "rolling" in wanted:
         days = carrier_days(dated)
         profiles["rolling"] = days if near is None else attach(days, near, ["flight_date"])
@@ -81,7 +84,7 @@ def flight_features(
     if "rotation" in wanted:
         df = rotation_features(df, tie_break, turnaround_mode, spread)
     if "rates" in wanted:
-        df = delay_rates(df, profiles["rates"])
+        df = delay_rates(df, {name: profiles[name] for name in RATES})
     if "rolling" in wanted:
         df = rolling_delays(df, profiles["rolling"])
     if "calendar" in wanted:
@@ -106,15 +109,33 @@ def flight_features(
     return df
 
 
+def store_profiles(profiles: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write the profiles and read them back, so the planner knows their true size."""
+    stored = {}
+    for name, df in profiles.items():
+        stored[name] = df.sparkSession.read.parquet(write_table(df, root, name))
+    return stored
+
+
 def features_of(
     flights: DataFrame,
     holidays: DataFrame | None = None,
     weather: DataFrame | None = None,
     parts: Iterable[str] = ALL,
     accuracy: int | None = None,
+    store: str | None = None,
     **options,
 ) -> DataFrame:
-    """Profiles and enrichment in one lazy plan."""
+    """Profiles and enrichment in one lazy plan.
+
+    With ``store``, the rate cells and the small tables made from them are stored below it
+    first, so that the flights meet them by broadcast and do not move.
+    """
     parts = tuple(parts)
-    profiles = build_profiles(flights, holidays, weather, parts, accuracy)
+    cells = None
+    if store is not None and with_needs(parts) & {"rates", "location"}:
+        cells = store_profiles({"rate_cells": rate_cells(flag_delays(flights))}, store)["rate_cells"]
+    profiles = build_profiles(flights, holidays, weather, parts, accuracy, cells)
+    if cells is not None:
+        profiles |= store_profiles({name: profiles[name] for name in (*RATES, "location") if name in profiles}, store)
     return flight_features(flights, profiles, parts, **options)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyline.functions import band, first_match, pct, quantile, ratio, round_half_up, tally, top
+from skyline.functions import band, first_match, pct, ratio, round_half_up, tally, top
+from skyline.functions import histogram as hist
 
 
 def late(minutes: float = 15) -> Column:
@@ -34,8 +35,18 @@ def delay_counts() -> list[Column]:
     ]
 
 
-def delay_quantile(p: float) -> Column:
-    return round_half_up(quantile("ArrDelay", p))
+def delay_levels(features: DataFrame, keys: Sequence[Column | str], levels: Mapping[str, int], sums: Mapping[str, Column] = {}, more: Sequence[Column] = ()) -> DataFrame:
+    """``delay_counts`` and delay quantiles of each group, all from one histogram; ``more`` aggregates its ``sums``."""
+    cells = hist.histogram(features, keys, "ArrDelay", **sums)
+    late_rows = hist.rows_where(late())
+    return cells.groupBy(*cells.columns[:len(keys)]).agg(
+        hist.rows().alias("total_flights"),
+        late_rows.alias("delayed_flights"),
+        pct(late_rows, hist.rows()).alias("delay_rate_pct"),
+        round_half_up(hist.mean_of("ArrDelay")).alias("avg_delay_minutes"),
+        *[round_half_up(hist.level("ArrDelay", percent)).alias(name) for name, percent in levels.items()],
+        *more,
+    )
 
 
 def _by(*columns: str) -> list[Column]:
@@ -57,13 +68,10 @@ def day_type(flag: str = "is_weekend") -> Column:
 def when_by_hour(features: DataFrame, least: int = 5, k: int | None = 100) -> DataFrame:
     """Worst airport hours by season and day type."""
     keys = ["hour_category", "flight_hour", "season", "is_weekend"]
-    groups = (
-        operated(features).filter(F.col("flight_hour").isNotNull())
-        .groupBy(F.col("Origin").alias("airport"), *keys)
-        .agg(*delay_counts(), delay_quantile(0.9).alias("p90_delay_minutes"),
-             delay_quantile(0.5).alias("median_delay_minutes"))
-        .filter(F.col("total_flights") >= least)
-    )
+    groups = delay_levels(
+        operated(features).filter(F.col("flight_hour").isNotNull()), [F.col("Origin").alias("airport"), *keys],
+        {"p90_delay_minutes": 90, "median_delay_minutes": 50},
+    ).filter(F.col("total_flights") >= least)
     rows = groups.select(
         F.lit("Hourly Pattern").alias("analysis_type"), "airport", "hour_category", "flight_hour", "season",
         day_type().alias("day_type"), "total_flights", "delayed_flights", "delay_rate_pct",
@@ -87,14 +95,12 @@ def when_by_day_type(features: DataFrame) -> DataFrame:
 def where_airports(features: DataFrame, least: int = 100, above: float = 15, k: int | None = 50) -> DataFrame:
     """Airports where many departures end late, with their buffer problems."""
     short = F.col("buffer_adequacy_category") == "insufficient"
-    groups = (
-        operated(features)
-        .groupBy(F.col("Origin").alias("airport"), "airport_type", F.col("origin_region").alias("region"))
-        .agg(*delay_counts(), delay_quantile(0.9).alias("p90_delay_minutes"),
-             mean("buffer_shortfall_minutes").alias("avg_buffer_shortfall"),
-             tally(short).alias("insufficient_buffer_count"))
-        .filter((F.col("total_flights") >= least) & (F.col("delay_rate_pct") > above))
-    )
+    gap = "buffer_shortfall_minutes"
+    groups = delay_levels(
+        operated(features), [F.col("Origin").alias("airport"), "airport_type", F.col("origin_region").alias("region")],
+        {"p90_delay_minutes": 90}, {"gap": F.sum(gap), "gaps": F.count(gap), "short": tally(short)},
+        [round_half_up(hist.mean_from("gap", "gaps")).alias("avg_buffer_shortfall"), F.sum("short").alias("insufficient_buffer_count")],
+    ).filter((F.col("total_flights") >= least) & (F.col("delay_rate_pct") > above))
     rows = groups.select(
         F.lit("Airport Hotspots").alias("analysis_type"), *groups.columns,
         pct("insufficient_buffer_count", "total_flights").alias("insufficient_buffer_pct"),
@@ -134,9 +140,7 @@ def why_weather(features: DataFrame, least: int = 100, k: int | None = 100) -> D
     The mean is taken before small groups are dropped. Rates have two decimals,
     so it is summed in hundredths, which no order of addition can change.
     """
-    groups = operated(features).groupBy(*WEATHER_GROUP).agg(
-        *delay_counts(), delay_quantile(0.9).alias("p90_delay_minutes")
-    )
+    groups = delay_levels(operated(features), WEATHER_GROUP, {"p90_delay_minutes": 90})
     # one row for each combination of weather labels
     usual = F.avg(F.round(F.col("delay_rate_pct") * 100)).over(Window.partitionBy()) / 100
     rows = groups.withColumn("usual", usual).filter(F.col("total_flights") >= least).select(
@@ -233,14 +237,15 @@ def how_buffers(features: DataFrame, since: int = 2005) -> DataFrame:
 def how_depths(features: DataFrame, since: int = 2005) -> DataFrame:
     """Flights per cascade depth and their share of all cascading flights.
 
-    The share is a window over the grouped rows, one per depth.
+    The total is a sum over the grouped rows, one per depth, as a scalar of the same plan;
+    depths grow with days that name no aircraft, so no task gets all of them.
     """
     groups = (
         operated(features, since).filter(F.col("cascade_depth") > 0).groupBy("cascade_depth")
         .agg(F.count("*").alias("flight_count"), mean("ArrDelay").alias("avg_delay_minutes"),
              mean("delay_cascaded").alias("avg_delay_cascaded"))
     )
-    return groups.withColumn("pct_of_total", pct("flight_count", F.sum("flight_count").over(Window.partitionBy())))
+    return groups.withColumn("pct_of_total", pct("flight_count", groups.select(F.sum("flight_count")).scalar()))
 
 
 def how_recovery(features: DataFrame, since: int = 2005) -> DataFrame:

@@ -8,23 +8,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyline.functions import band, is_recent, pct, quantile, round_half_up, tally
+from skyline.functions import band, is_recent, pct, round_half_up, tally
+from skyline.functions import histogram as hist
 from skyline.operators.calendar import season_of
 
 HISTORY_WEIGHT, LIVE_WEIGHT = 0.6, 0.4
 
 
-def _performance(prefix: str, delay: str, cancelled: Column, levels: Sequence[int]) -> list[Column]:
-    """Flights, punctuality, cancellations and delay levels of a group, named for one side."""
-    n = F.count("*")
+def _performance(df: DataFrame, keys: Sequence[Column | str], prefix: str, delay: str, cancelled: Column, levels: Sequence[int]) -> DataFrame:
+    """Flights, punctuality, cancellations and delay levels of each group, named for one side, from one histogram."""
     named = {50: "median", 80: "p80", 95: "p95"}
-    return [
+    cells = hist.histogram(df, keys, delay, gone=tally(cancelled))
+    n = hist.rows()
+    return cells.groupBy(*cells.columns[:len(keys)]).agg(
         n.alias(f"{prefix}_flight_count"),
-        pct(tally(F.col(delay) <= 15), n).alias(f"{prefix}_on_time_rate_pct"),
-        pct(tally(cancelled), n).alias(f"{prefix}_cancellation_rate_pct"),
-        round_half_up(F.avg(delay)).alias(f"{prefix}_avg_delay"),
-        *[round_half_up(quantile(delay, p / 100)).alias(f"{prefix}_{named[p]}_delay") for p in levels],
-    ]
+        pct(hist.rows_where(F.col(delay) <= 15), n).alias(f"{prefix}_on_time_rate_pct"),
+        pct(F.sum("gone"), n).alias(f"{prefix}_cancellation_rate_pct"),
+        round_half_up(hist.mean_of(delay)).alias(f"{prefix}_avg_delay"),
+        *[round_half_up(hist.level(delay, p)).alias(f"{prefix}_{named[p]}_delay") for p in levels],
+    )
 
 
 def _blend() -> Column:
@@ -36,15 +38,11 @@ def _blend() -> Column:
 
 
 def _live(live: DataFrame, keys: Sequence[Column | str], as_of: dt.datetime, days: float, levels: Sequence[int]) -> DataFrame:
-    return is_recent(live, as_of, days).groupBy(*keys).agg(
-        *_performance("realtime", "arrival_delay_minutes", F.col("is_cancelled"), levels)
-    )
+    return _performance(is_recent(live, as_of, days), keys, "realtime", "arrival_delay_minutes", F.col("is_cancelled"), levels)
 
 
 def _history(features: DataFrame, keys: Sequence[Column | str], levels: Sequence[int], since: int = 1987) -> DataFrame:
-    return features.filter(F.col("Year") >= since).groupBy(*keys).agg(
-        *_performance("historical", "ArrDelay", F.col("Cancelled") == 1, levels)
-    )
+    return _performance(features.filter(F.col("Year") >= since), keys, "historical", "ArrDelay", F.col("Cancelled") == 1, levels)
 
 
 def reliability_scores(

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyline.functions import (
-    band, clock_text_minutes, first_match, is_recent, mean_if, pct, quantile, ratio, round_half_up, tally, top,
+    band, clock_text_minutes, first_match, is_recent, mean_if, pct, ratio, round_half_up, tally, top,
 )
+from skyline.functions import histogram as hist
 from skyline.operators.buffers import score_band
 from skyline.operators.calendar import SEASON_MONTHS
 from skyline.operators.rotation import large_days, link_rows
@@ -31,6 +32,22 @@ def _mean_of_means(column: str) -> Column:
     return round_half_up(F.avg(F.round(F.col(column) * 100)) / 100)
 
 
+def _parts(**columns: Column | str) -> list[Column]:
+    """Sum and count of each column, from which a mean can be had after cells are merged."""
+    return [e for name, c in columns.items() for e in (F.sum(c).alias(f"{name}_sum"), F.count(c).alias(f"{name}_n"))]
+
+
+def _from_parts(name: str, digits: int = 2) -> Column:
+    return round_half_up(ratio(f"{name}_sum", f"{name}_n"), digits)
+
+
+def merged(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells of several days as one: sums add up, of columns named ``most_...`` the greatest counts."""
+    return cells.groupBy(*keys).agg(*[
+        (F.max(c) if c.startswith("most_") else F.sum(c)).alias(c) for c in cells.columns if c not in keys
+    ])
+
+
 def _late(minutes: float = 15) -> Column:
     return F.col("arrival_delay_minutes") > minutes
 
@@ -69,14 +86,21 @@ def part_of_day(hour: Column | str) -> Column:
 
 def cascade_matrix(live: DataFrame, as_of: dt.datetime, days: float = 1, least: int = 5, k: int | None = 50) -> DataFrame:
     """Cascade rate per route beside the overall rate of its two stations."""
-    n, hit = F.count("*"), tally(_risky())
-    routes = (
-        is_recent(live, as_of, days).groupBy(*ROUTE)
-        .agg(n.alias("total_flights"), hit.alias("cascade_events"), pct(hit, n).alias("cascade_rate_pct"),
-             _mean("arrival_delay_minutes").alias("avg_arrival_delay"),
-             _mean("departure_delay_minutes").alias("avg_departure_delay"),
-             tally(F.col("is_cancelled")).alias("cancellations"))
-        .filter(F.col("total_flights") >= least)
+    return cascade_report(cascade_cells(is_recent(live, as_of, days)), least, k)
+
+
+def cascade_cells(live: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What the cascade matrix needs of each route; adds up over days. ``by`` keeps days apart."""
+    return live.groupBy(*by, *ROUTE).agg(
+        F.count("*").alias("total_flights"), tally(_risky()).alias("cascade_events"), tally(F.col("is_cancelled")).alias("cancellations"),
+        *_parts(arrival="arrival_delay_minutes", departure="departure_delay_minutes"),
+    )
+
+
+def cascade_report(cells: DataFrame, least: int = 5, k: int | None = 50) -> DataFrame:
+    routes = cells.filter(F.col("total_flights") >= least).select(
+        *ROUTE, "total_flights", "cascade_events", pct("cascade_events", "total_flights").alias("cascade_rate_pct"),
+        _from_parts("arrival").alias("avg_arrival_delay"), _from_parts("departure").alias("avg_departure_delay"), "cancellations",
     )
     # Station totals are sums over the grouped routes, at most one row per route.
     rate = {
@@ -103,12 +127,25 @@ def cascade_matrix(live: DataFrame, as_of: dt.datetime, days: float = 1, least:
 
 def congestion_patterns(live: DataFrame, as_of: dt.datetime, days: float = 7, least: int = 5, k: int | None = 100) -> DataFrame:
     """Busy and late airport hours, seen from the departure and the arrival side."""
-    slot = ("hour_of_day", "day_of_week")
-    cells = is_recent(live, as_of, days).groupBy(*ROUTE, *slot, "flight_date").agg(
-        F.count("*").alias("flights"), tally(_late()).alias("delayed"),
-        _mean("arrival_delay_minutes").alias("arr"), _mean("departure_delay_minutes").alias("dep"),
-        F.max("arrival_delay_minutes").alias("worst"),
-        _mean("taxi_out_minutes").alias("taxi_out"), _mean("taxi_in_minutes").alias("taxi_in"),
+    return congestion_report(congestion_cells(is_recent(live, as_of, days)), least, k)
+
+
+SLOT = ("hour_of_day", "day_of_week")
+CONGESTION_KEYS = (*ROUTE, *SLOT, "flight_date")
+
+
+def congestion_cells(live: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What the congestion report needs of each route, hour and date; adds up over days. ``by`` keeps days apart."""
+    return live.groupBy(*by, *CONGESTION_KEYS).agg(
+        F.count("*").alias("flights"), tally(_late()).alias("delayed"), F.max("arrival_delay_minutes").alias("most_late"),
+        *_parts(arr="arrival_delay_minutes", dep="departure_delay_minutes", taxi_out="taxi_out_minutes", taxi_in="taxi_in_minutes"),
+    )
+
+
+def congestion_report(cells: DataFrame, least: int = 5, k: int | None = 100) -> DataFrame:
+    slot = SLOT
+    cells = cells.select(
+        *CONGESTION_KEYS, "flights", "delayed", F.col("most_late").alias("worst"), *[_from_parts(c).alias(c) for c in ("arr", "dep", "taxi_out", "taxi_in")]
     )
 
     def side(end: str, kind: str, delay: str, taxi: str) -> Column:
@@ -157,14 +194,15 @@ def flight_durations(live: DataFrame) -> DataFrame:
 
 def connection_risk(live: DataFrame, as_of: dt.datetime, days: float = 7, least: int = 10, k: int | None = 100) -> DataFrame:
     """How long a connection should be on each route, and how risky it is."""
-    n, hit = F.count("*"), tally(_risky())
-    q = lambda p: round_half_up(quantile("arrival_delay_minutes", p))
+    delay = "arrival_delay_minutes"
+    cells = hist.histogram(is_recent(live, as_of, days).filter(~F.col("is_cancelled")), ROUTE, delay, hits=tally(_risky()))
+    n, hit = hist.rows(), F.sum("hits")
     groups = (
-        is_recent(live, as_of, days).filter(~F.col("is_cancelled")).groupBy(*ROUTE)
-        .agg(n.alias("total_flights"), pct(tally(_punctual()), n).alias("on_time_arrival_rate_pct"),
-             _mean("arrival_delay_minutes").alias("avg_arrival_delay"),
-             _sd("arrival_delay_minutes").alias("stddev_arrival_delay"),
-             *[q(p / 100).alias(f"p{p}_arrival_delay") for p in (50, 75, 90, 95)],
+        cells.groupBy(*ROUTE)
+        .agg(n.alias("total_flights"), pct(hist.rows_where(_punctual()), n).alias("on_time_arrival_rate_pct"),
+             round_half_up(hist.mean_of(delay)).alias("avg_arrival_delay"),
+             round_half_up(hist.deviation_of(delay)).alias("stddev_arrival_delay"),
+             *[round_half_up(hist.level(delay, p)).alias(f"p{p}_arrival_delay") for p in (50, 75, 90, 95)],
              hit.alias("cascade_events"), pct(hit, n).alias("cascade_rate_pct"))
         .filter(F.col("total_flights") >= least)
     )
@@ -259,29 +297,40 @@ def root_causes(
     ``airports`` and ``k`` limit the airports and the rows shown; None shows all. Every flight is counted under its key in each view, so one scan and one
     aggregate serve all five; what each view shows is derived from the grouped rows.
     """
+    return cause_report(cause_cells(is_recent(live, as_of, days), cancelled_label), least, k, airports)
+
+
+CAUSE_VIEWS = ("SEVERITY_BREAKDOWN", "DELAY_PHASE", "AIRPORT_PATTERN", "CARRIER_PERFORMANCE", "TIME_PERIOD")
+CAUSE_KEYS = ("metric_category", "key")
+
+
+def cause_cells(live: DataFrame, cancelled_label: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Every flight counted under its key in each of the five views; adds up over days. ``by`` keeps days apart."""
     hour = F.col("hour_of_day").cast("string")
-    keys = {
-        "SEVERITY_BREAKDOWN": delay_severity(cancelled_label),
-        "DELAY_PHASE": delay_phase(),
-        "AIRPORT_PATTERN": F.col("origin_airport"),
-        "CARRIER_PERFORMANCE": F.col("carrier"),
-        "TIME_PERIOD": F.concat(part_of_day("hour_of_day"), F.lit(" (Hour "), hour, F.lit(")")),
-    }
+    keys = (
+        delay_severity(cancelled_label), delay_phase(), F.col("origin_airport"), F.col("carrier"),
+        F.concat(part_of_day("hour_of_day"), F.lit(" (Hour "), hour, F.lit(")")),
+    )
     views = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("metric_category"), key.alias("key")) for name, key in keys.items()
+        F.struct(F.lit(name).alias("metric_category"), key.alias("key")) for name, key in zip(CAUSE_VIEWS, keys)
     ]))
     measured = ("arrival_delay_minutes", "departure_delay_minutes", "taxi_out_minutes", "is_cancelled", "cascade_risk")
-    groups = (
-        is_recent(live, as_of, days).select(views.alias("view"), *measured)
-        .groupBy("view.metric_category", "view.key")
-        .agg(F.count("*").alias("n"), tally(_late()).alias("late"), tally(F.col("is_cancelled")).alias("gone"),
-             tally(_risky()).alias("risky"), F.avg("arrival_delay_minutes").alias("delay"),
-             mean_if(_late(), "arrival_delay_minutes").alias("late_delay"),
-             mean_if(_late(), "departure_delay_minutes").alias("late_departure"),
-             mean_if(_late(), "taxi_out_minutes").alias("late_taxi"))
+    late = lambda c: F.when(_late(), F.col(c))
+    return (
+        live.select(views.alias("view"), *by, *measured).groupBy(*by, "view.metric_category", "view.key")
+        .agg(F.count("*").alias("n"), tally(_late()).alias("late"), tally(F.col("is_cancelled")).alias("gone"), tally(_risky()).alias("risky"),
+             *_parts(delay="arrival_delay_minutes", late_delay=late("arrival_delay_minutes"), late_departure=late("departure_delay_minutes"),
+                     late_taxi=late("taxi_out_minutes")))
+    )
+
+
+def cause_report(cells: DataFrame, least: int = 10, k: int | None = 100, airports: int | None = 20) -> DataFrame:
+    groups = cells.select(
+        *CAUSE_KEYS, "n", "late", "gone", "risky",
+        *[ratio(f"{c}_sum", f"{c}_n").alias(c) for c in ("delay", "late_delay", "late_departure", "late_taxi")],
     )
     view, late_pct = F.col("metric_category"), pct("late", "n")
-    is_size, is_phase, is_airport, is_carrier, is_hour = (view == name for name in keys)
+    is_size, is_phase, is_airport, is_carrier, is_hour = (view == name for name in CAUSE_VIEWS)
     counted = F.when(is_phase, F.col("late")).otherwise(F.col("n"))
     of_all = pct(counted, F.sum(counted).over(Window.partitionBy("metric_category")))
     pattern = first_match(
@@ -415,22 +464,26 @@ def turnarounds(
 
 def turn_times(live: DataFrame, as_of: dt.datetime, days: float = 90, k: int | None = 100, **options) -> DataFrame:
     """Turn-time statistics per airport and carrier, with advice."""
-    turn, n = "turnaround_time_minutes", F.count("*")
+    turn, planned, n = "turnaround_time_minutes", "scheduled_turnaround_minutes", hist.rows()
     slow_next = F.col("second_flight_delay") > 15
-    groups = turnarounds(live, as_of, days, **options).groupBy("turnaround_airport", "carrier").agg(
+    cells = hist.histogram(
+        turnarounds(live, as_of, days, **options), ["turnaround_airport", "carrier"], turn,
+        due=F.sum(planned), dues=F.count(planned), late=tally(slow_next), hits=tally(F.col("second_cascade_risk")),
+    )
+    groups = cells.groupBy("turnaround_airport", "carrier").agg(
         n.alias("total_turnarounds"),
-        _mean(turn).alias("avg_turnaround_minutes"),
-        _mean("scheduled_turnaround_minutes").alias("avg_scheduled_turnaround"),
-        round_half_up(quantile(turn, 0.5)).alias("median_turnaround"),
-        round_half_up(quantile(turn, 0.9)).alias("p90_turnaround"),
-        _sd(turn).alias("stddev_turnaround"),
+        round_half_up(hist.mean_of(turn)).alias("avg_turnaround_minutes"),
+        round_half_up(hist.mean_from("due", "dues")).alias("avg_scheduled_turnaround"),
+        round_half_up(hist.level(turn, 50)).alias("median_turnaround"),
+        round_half_up(hist.level(turn, 90)).alias("p90_turnaround"),
+        round_half_up(hist.deviation_of(turn)).alias("stddev_turnaround"),
         round_half_up(F.min(turn)).alias("min_turnaround_minutes"),
         round_half_up(F.max(turn)).alias("max_turnaround_minutes"),
-        pct(tally(F.col(turn) < 45), n).alias("quick_turnaround_rate_pct"),
-        pct(tally(F.col(turn) > 120), n).alias("slow_turnaround_rate_pct"),
-        pct(tally(slow_next), n).alias("second_flight_delay_rate_pct"),
-        pct(tally(F.col("second_cascade_risk")), n).alias("cascade_rate_pct"),
-        round_half_up(mean_if(slow_next, turn)).alias("avg_turnaround_when_delayed"),
+        pct(hist.rows_where(F.col(turn) < 45), n).alias("quick_turnaround_rate_pct"),
+        pct(hist.rows_where(F.col(turn) > 120), n).alias("slow_turnaround_rate_pct"),
+        pct(F.sum("late"), n).alias("second_flight_delay_rate_pct"),
+        pct(F.sum("hits"), n).alias("cascade_rate_pct"),
+        round_half_up(ratio(F.sum(F.col(turn) * F.col("late")), F.sum("late"))).alias("avg_turnaround_when_delayed"),
     )
     avg, med, slow = F.col("avg_turnaround_minutes"), F.col("median_turnaround"), F.col("slow_turnaround_rate_pct")
     rows = groups.withColumns({

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyline.functions import band, quantile, ratio_or_zero
+from skyline.functions import band, ratio_or_zero
+from skyline.functions.histogram import histogram, level, mean_from, mean_of, rows
 
 ROUTE_MONTH = ("Year", "Month", "UniqueCarrier", "Origin", "Dest")
 
@@ -37,18 +38,23 @@ def cascade_metrics(features: DataFrame) -> DataFrame:
     return base.withColumns({name: ratio_or_zero(*pair) for name, pair in shares.items()})
 
 
-def reliability_metrics(features: DataFrame, accuracy: int | None = None) -> DataFrame:
+def reliability_metrics(features: DataFrame) -> DataFrame:
     """What a traveller can expect, per carrier, route, month and hour."""
-    base = features.groupBy(*ROUTE_MONTH, "flight_hour").agg(
-        F.count("*").alias("flight_count"),
-        F.sum("on_time_flag").alias("on_time_flights"),
-        F.sum("cancelled_flag").alias("cancelled_flights"),
-        F.avg("reliability_score").alias("avg_reliability_score"),
-        quantile("ArrDelay", 0.5, accuracy).alias("median_arrival_delay"),
-        quantile("ArrDelay", 0.8, accuracy).alias("p80_arrival_delay"),
-        F.avg("ArrDelay").alias("avg_arrival_delay"),
-        F.avg("DepDelay").alias("avg_departure_delay"),
-        *[F.avg(c).alias(c) for c in ("carrier_delay_rate", "route_delay_rate", "time_delay_rate")],
+    keys = [*ROUTE_MONTH, "flight_hour"]
+    means = {
+        "reliability_score": "avg_reliability_score", "DepDelay": "avg_departure_delay",
+        **{c: c for c in ("carrier_delay_rate", "route_delay_rate", "time_delay_rate")},
+    }
+    sums = {f"{c}_{kind}": f(c) for c in means for kind, f in (("sum", F.sum), ("known", F.count))}
+    cells = histogram(features, keys, "ArrDelay", on_time=F.sum("on_time_flag"), cancelled=F.sum("cancelled_flag"), **sums)
+    base = cells.groupBy(*keys).agg(
+        rows().alias("flight_count"),
+        F.sum("on_time").alias("on_time_flights"),
+        F.sum("cancelled").alias("cancelled_flights"),
+        level("ArrDelay", 50).alias("median_arrival_delay"),
+        level("ArrDelay", 80).alias("p80_arrival_delay"),
+        mean_of("ArrDelay").alias("avg_arrival_delay"),
+        *[mean_from(f"{c}_sum", f"{c}_known").alias(name) for c, name in means.items()],
     )
     return base.withColumns({
         "on_time_rate": ratio_or_zero("on_time_flights", "flight_count"),

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from skyline.functions import first_match
 from skyline.schemas import LIVE_FLIGHT_RAW, LIVE_TYPES, LIVE_WEATHER_RAW, names
+from skyline.session import scratch_path
 
 
 # Columns that a CSV read adds when asked where rows come from and what is wrong with them.
@@ -24,21 +24,39 @@ def is_missing(problem: AnalysisException) -> bool:
     return problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: the driver opens each file and reads one line of it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
-        try:
-            first = lines.readLine()
-        finally:
-            lines.close()
-        if first:
-            header = tuple(name.strip() for name in next(csv.reader([first.removeprefix("\ufeff")])))
-            found.setdefault(header, []).append(file)
-    return found
+def _lines(spark: SparkSession, paths: Sequence[str], skip: Sequence[str], recursive: bool) -> DataFrame:
+    """Every line of the files with its file, stored once: (value, file, block, id); ids grow along a file's block."""
+    read = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(list(paths))
+    lines = read.select(
+        "value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")
+    ).filter(F.trim("value") != "")
+    for part in skip:
+        lines = lines.filter(~F.col(FILE).contains(part))
+    stored = scratch_path(spark, "csv-lines")
+    lines.write.parquet(stored)
+    return spark.read.schema("value string, csv_file string, block bigint, id bigint").parquet(stored)
+
+
+def _by_name(header: str, wanted: Sequence[tuple[str, str]], line: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """How to split a line of a file with this header, and the contract's columns from the parts."""
+    found = [name.strip() for name in next(csv.reader([header.removeprefix("\ufeff")]))]
+    shape = ", ".join([*(f"c{i} string" for i in range(len(found))), "torn string"])
+    parts = F.from_csv(line, shape, {"nullValue": "NA", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "torn"})
+    place = {name: f"c{i}" for i, name in enumerate(found)}
+
+    def taken(row: Column) -> Column:
+        absent = [name for name, _ in wanted if name not in place]
+        typed = [(row[place[n]].try_cast(t) if n in place else F.lit(None).cast(t)).alias(n) for n, t in wanted]
+        unread = [F.when(row[place[n]].isNotNull() & row[place[n]].try_cast(t).isNull(), F.lit(n)) for n, t in wanted if n in place and t != "string"]
+        names_unread = F.concat_ws(", ", *unread) if unread else F.lit("")
+        problem = F.lit(f"Missing columns: {', '.join(sorted(absent))}") if absent else first_match([
+            (row["torn"].isNotNull(), F.lit("Row does not fit the header")),
+            (names_unread != "", F.concat(F.lit("Unreadable values: "), names_unread)),
+        ])
+        text = F.coalesce(row["torn"], F.to_json(F.struct(*[row[f"c{i}"].alias(name) for i, name in enumerate(found)])))
+        return F.struct(*typed, problem.cast("string").alias(PROBLEM), text.alias(RAW_LINE))
+
+    return parts, taken
 
 
 def read_csv_by_header(spark: SparkSession, paths: str | Sequence[str], schema: str, *, skip: Sequence[str] = (), recursive: bool = False) -> DataFrame:
@@ -47,31 +65,25 @@ def read_csv_by_header(spark: SparkSession, paths: str | Sequence[str], schema:
     Gives the columns of ``schema``; a column that a file lacks is null there, and other
     columns are left out. Three more columns tell what is wrong with a row or its file
     (null if nothing is), the row as JSON text, and its file. The text NA means missing.
-    Files with equal headers are read together, so the plan grows with the layouts, not with the files.
+    Lines are read once, in tasks, and stored; each file's header is its first line there, and only the
+    distinct headers come to the driver. The plan grows with the layouts, not with the files. A file's header is joined to
+    its lines, by broadcast or shuffle as the stored size says.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     wanted = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema).fields]
-    listed = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths).inputFiles()
-    frames = []
-    for header, files in sorted(_headers(spark, [f for f in listed if not any(part in f for part in skip)]).items()):
-        shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))] + [T.StructField("torn", T.StringType())])
-        rows = spark.read.csv(
-            files, schema=shape, header=True, nullValue="NA", mode="PERMISSIVE", columnNameOfCorruptRecord="torn", enforceSchema=True
-        )
-        place = {name: f"c{i}" for i, name in enumerate(header)}
-        absent = [name for name, _ in wanted if name not in place]
-        typed = [(F.col(place[n]).try_cast(t) if n in place else F.lit(None).cast(t)).alias(n) for n, t in wanted]
-        unread = [F.when(F.col(place[n]).isNotNull() & F.col(place[n]).try_cast(t).isNull(), F.lit(n)) for n, t in wanted if n in place and t != "string"]
-        names_unread = F.concat_ws(", ", *unread) if unread else F.lit("")
-        problem = F.lit(f"Missing columns: {', '.join(sorted(absent))}") if absent else first_match([
-            (F.col("torn").isNotNull(), F.lit("Row does not fit the header")),
-            (names_unread != "", F.concat(F.lit("Unreadable values: "), names_unread)),
-        ])
-        line = F.coalesce("torn", F.to_json(F.struct(*[F.col(f"c{i}").alias(name) for i, name in enumerate(header)])))
-        frames.append(rows.select(*typed, problem.alias(PROBLEM), line.alias(RAW_LINE), F.col("_metadata.file_path").alias(FILE)))
-    if not frames:
+    lines = _lines(spark, paths, skip, recursive)
+    heads = lines.filter("block = 0").groupBy(FILE).agg(F.min(F.struct("id", "value")).alias("head"))
+    layouts = sorted(r["header"] for r in heads.select(F.col("head.value").alias("header")).distinct().collect())
+    if not layouts:
         return spark.createDataFrame([], f"{schema}, {PROBLEM} string, {RAW_LINE} string, {FILE} string")
-    return reduce(DataFrame.union, frames)
+    rows = lines.join(heads, FILE).filter(F.col("id") != F.col("head.id"))
+    split, result = {}, None
+    for n, header in enumerate(layouts):
+        mine = F.col("head.value") == header
+        split[f"parts{n}"], taken = _by_name(header, wanted, F.when(mine, F.col("value")))
+        value = taken(F.col(f"parts{n}"))
+        result = F.when(mine, value) if result is None else result.when(mine, value)
+    return rows.withColumns(split).select(result.alias("row"), FILE).select("row.*", FILE)
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
@@ -94,6 +106,17 @@ def read_table(spark: SparkSession, path: str, *, merge: bool = False) -> DataFr
     return spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table is there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as problem:
+        if not is_missing(problem):
+            raise
+        return False
+    return True
+
+
 def first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """First path that exists and holds a row."""
     for path in paths:
@@ -124,12 +147,10 @@ def feed_of(path: Column) -> Column:
     ])
 
 
-def _struct_fields(ddl: str) -> str:
-    return ", ".join(": ".join(part.split()) for part in ddl.replace("\n", " ").split(","))
-
-
 # Key of the record list in each feed's envelope, and the record's fields.
 FEEDS = {"flights": ("flights", LIVE_FLIGHT_RAW), "weather": ("observations", LIVE_WEATHER_RAW)}
+#: The fields of a record that the contract does not name, as text.
+EXTRA = "extra_fields"
 
 
 def parse_envelopes(documents: DataFrame, feed: str, text: str = "value", path: str = "path") -> DataFrame:
@@ -137,45 +158,48 @@ def parse_envelopes(documents: DataFrame, feed: str, text: str = "value", path:
 
     Records lie under the feed's key, under ``data``, in a bare list, or the
     document is one record. A list is wrapped in the feed's key, so one parse
-    reads every form. ``problem`` is null for a readable document; an empty
+    reads every list. A record is a map from its fields to their text, nested values as JSON, so no field is lost.
+    ``problem`` is null for a readable document; an empty
     record list is no problem, a missing key or unreadable text is.
     """
-    key, ddl = FEEDS[feed]
-    record, fields = _struct_fields(ddl), names(ddl)
+    key, _ = FEEDS[feed]
     body = F.col(text)
     listed = F.concat(F.lit(f'{{"{key}":'), body, F.lit("}"))
-    shape = (
-        f"struct<metadata: string, {key}: array<struct<{record}>>, data: array<struct<{record}>>, "
-        f"{record}, unreadable: string>"
-    )
+    shape = f"struct<metadata: string, {key}: array<map<string, string>>, data: array<map<string, string>>, unreadable: string>"
     whole = F.from_json(
         F.when(F.ltrim(body).startswith("["), listed).otherwise(body), shape, {"columnNameOfCorruptRecord": "unreadable"}
     )
     doc = documents.select(body.alias("raw_data"), F.col(path).alias("source_file"), whole.alias("doc"))
-    listing = F.coalesce(f"doc.{key}", "doc.data")
+    doc = doc.withColumn("listing", F.coalesce(f"doc.{key}", "doc.data"))
     problem = first_match([
         (F.trim("raw_data") == "", "empty document"),
         (F.col("doc").isNull() | F.col("doc.unreadable").isNotNull(), "unreadable JSON"),
-        (listing.isNull() & F.col("doc.metadata").isNotNull(), f"missing '{key}' key"),
+        (F.col("listing").isNull() & F.col("doc.metadata").isNotNull(), f"missing '{key}' key"),
     ])
-    alone = F.array(F.struct(*[F.col(f"doc.{c}").alias(c) for c in fields]))
+    doc = doc.withColumn("problem", problem)
+    # Only a document that is neither a list nor an envelope is read again, as a record of its own.
+    alone = F.from_json(F.when(F.col("problem").isNull() & F.col("listing").isNull(), F.col("raw_data")), "map<string, string>")
     return doc.select(
         "source_file",
         F.concat_ws("#", "source_file", F.hex(F.xxhash64("raw_data"))).alias("document"),
-        "raw_data", problem.alias("problem"),
-        F.when(problem.isNull(), F.coalesce(listing, alone)).alias("records"),
+        "raw_data", "problem",
+        F.when(F.col("problem").isNull(), F.coalesce("listing", F.array(alone))).alias("records"),
     )
 
 
-def explode_records(parsed: DataFrame) -> DataFrame:
+def explode_records(parsed: DataFrame, feed: str = "flights") -> DataFrame:
     """One row per record of the usable documents, with its document and position as arrival order.
 
-    Unusable documents have no records. They are dropped after the explode: a
+    Fields that the contract names are columns; all others stay with the row as the map
+    ``extra_fields``. Unusable documents have no records. They are dropped after the explode: a
     filter in front of it would be pushed below the parse and repeat it.
     """
+    fields = names(FEEDS[feed][1])
     rows = parsed.select(
         "source_file", "document", F.posexplode_outer("records").alias("arrival", "r")
-    ).filter("arrival IS NOT NULL").select("r.*", "source_file", "document", "arrival")
+    ).filter("arrival IS NOT NULL")
+    other = F.map_filter("r", lambda name, _: ~name.isin(*fields))
+    rows = rows.select(*[F.col("r")[c].alias(c) for c in fields], other.alias(EXTRA), "source_file", "document", "arrival")
     return rows.withColumns({c: F.col(c).try_cast(t) for c, t in LIVE_TYPES.items() if c in rows.columns})
 
 
@@ -184,4 +208,4 @@ def read_envelopes(spark: SparkSession, path: str, feed: str, *, per_line: bool
     docs = spark.read.text(path, wholetext=not per_line, recursiveFileLookup=True).select(
         "value", F.col("_metadata.file_path").alias("path")
     )
-    return explode_records(parse_envelopes(docs.filter(feed_of(F.col("path")) == feed), feed))
+    return explode_records(parse_envelopes(docs.filter(feed_of(F.col("path")) == feed), feed), feed)

@@ -202,3 +202,93 @@ def test_raw_to_gold(spark, root, tmp_path):
     assert spark.read.parquet(made["reliability_metrics"]).agg(F.sum("flight_count")).first()[0] == flights.count()
     rates = stored.select("carrier_delay_rate", "route_delay_rate", "reliability_score")
     assert rates.filter(" OR ".join(f"{c} < 0 OR {c} > 1" for c in rates.columns)).count() == 0
+
+
+def history(folder, name, *rows, columns=None):
+    """A raw file of flights; each row gives what differs from a plain flight."""
+    columns = columns or [part.split()[0] for part in FLIGHT.replace("\n", " ").split(",")]
+    plain = dict.fromkeys(columns, "1") | {"Year": "2000", "Origin": "ORD", "Dest": "ATL", "UniqueCarrier": "AA", "ArrDelay": "5", "DepDelay": "4"}
+    drop_file(folder, name, "\n".join([",".join(columns), *(",".join({**plain, **r}[c] for c in columns) for r in rows)]) + "\n")
+
+
+def stored_files(path):
+    return {os.path.relpath(os.path.join(d, f), path): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+@pytest.mark.parametrize("keep", ["stored", "latest"])
+def test_later_drops_are_taken_once_and_joined_by_key(spark, tmp_path, keep):
+    raw, silver, rejects = (str(tmp_path / n) for n in ("raw", "silver", "rejects"))
+    folder = f"{raw}/historical"
+    history(folder, "a.csv", *({"FlightNum": str(n), "Month": str(m), "TaxiIn": "1"} for n in range(1, 6) for m in (1, 2, 3)))
+    first = batch.run_silver(spark, raw, silver, rejects, {}, run="one", keep=keep)
+    assert first.files == {"historical": 1} and first.counts["historical"] == (15, 0)
+    before = stored_files(f"{silver}/historical")
+    # a copy of a stored flight in month 2, new flights in months 2, 3 and 4
+    drop = [{"FlightNum": "3", "Month": "2", "TaxiIn": "9"}, {"FlightNum": "7", "Month": "2"}, {"FlightNum": "8", "Month": "3"}, {"FlightNum": "9", "Month": "4", "ArrDelay": "500"}]
+    history(folder, "b.csv", *drop)
+    for _ in range(2):  # tried again, as after a failure
+        second = batch.run_silver(spark, raw, silver, rejects, {}, run="two", keep=keep)
+        assert second.files == {"historical": 1} and second.counts["historical"] == (4, 0)
+    rows = spark.read.parquet(f"{silver}/historical")
+    got = sorted((r["Month"], r["FlightNum"]) for r in rows.collect())
+    assert got == sorted([(m, n) for n in range(1, 6) for m in (1, 2, 3)] + [(2, 7), (3, 8), (4, 9)])
+    assert rows.filter("FlightNum = 3 AND Month = 2").first()["TaxiIn"] == (9.0 if keep == "latest" else 1.0)
+    after = stored_files(f"{silver}/historical")
+    same = {f for f in before if after.get(f) == before[f]}
+    assert same == ({f for f in before if "Month=2/" not in f} if keep == "latest" else set(before))
+    # moments are those of the rows stored, however often a run is tried
+    moments = spark.read.parquet(f"{silver}/_moments/historical").agg(F.sum("ArrDelay_n"), F.sum("ArrDelay_sum")).first()
+    assert tuple(moments) == (18, 17 * 5.0 + 500.0)
+    score = rows.filter("FlightNum = 9").first()["ArrDelay_zscore"]
+    mean = (17 * 5 + 500) / 18
+    sd = ((17 * (5 - mean) ** 2 + (500 - mean) ** 2) / 17) ** 0.5
+    assert abs(score - (500 - mean) / sd) < 1e-9
+    assert batch.run_silver(spark, raw, silver, rejects, {}, run="three", keep=keep).files == {"historical": 0}
+
+
+def test_side_feeds_have_rejects_and_counts(spark, tmp_path):
+    raw, silver, rejects = (str(tmp_path / n) for n in ("raw", "silver", "rejects"))
+    names = [part.split()[0] for part in WEATHER.replace("\n", " ").split(",")]
+    plain = dict.fromkeys(names, "1") | {"obs_id": "KORD", "wx_phrase": "Fair"}
+    line = lambda header, **more: ",".join({**plain, **more}[c] for c in header)
+    folder = f"{raw}/supplemental/weather"
+    drop_file(folder, "a.csv", "\n".join([",".join(names), line(names), line(names), line(names, valid_time_gmt="2", temp="warm")]) + "\n")
+    swapped, short = names[::-1], [c for c in names if c != "vis"]
+    drop_file(folder, "b.csv", "\n".join([",".join(swapped), line(swapped, valid_time_gmt="3")]) + "\n")
+    drop_file(folder, "c.csv", "\n".join([",".join(short), line(short, valid_time_gmt="4")]) + "\n")
+    done = batch.run_silver(spark, raw, silver, rejects, {"weather": WEATHER})
+    assert done.counts == {"historical": (0, 0), "weather": (2, 2)} and set(done) == {"weather"}
+    assert sorted(r["valid_time_gmt"] for r in spark.read.parquet(done["weather"]).collect()) == [1, 3]
+    bad = {(r["error_type"], r["error_message"]) for r in spark.read.parquet(f"{rejects}/weather/cleaning_errors").collect()}
+    assert bad == {("unreadable_row", "Unreadable values: temp"), ("schema_validation", "Missing columns: vis")}
+    # a later file with a stored reading and a new one
+    drop_file(folder, "d.csv", "\n".join([",".join(names), line(names, temp="77"), line(names, valid_time_gmt="5")]) + "\n")
+    again = batch.run_silver(spark, raw, silver, rejects, {"weather": WEATHER})
+    assert again.files["weather"] == 1
+    assert sorted((r["valid_time_gmt"], r["temp"]) for r in spark.read.parquet(done["weather"]).collect()) == [(1, 1.0), (3, 1.0), (5, 1.0)]
+
+
+def test_marts_follow_changed_months(spark, root, tmp_path):
+    """After one month of the features changed, only that month's files are new, and all equal a full build."""
+    from skyline.catalog.feature_queries import features
+
+    base = str(tmp_path)
+    made = features(spark, root, "rotation", "rates", "rolling", "operations").filter("Year IN (1995, 1996)")
+    made = spark.read.parquet(writers.write_table(made, base, "made"))
+    path = writers.write_table(made, base, "features", ("Year", "Month"))
+    gold = f"{base}/gold"
+    marts = batch.run_marts(spark, path, gold)
+    before = {name: stored_files(p) for name, p in marts.items()}
+    # one month loses its evening hours, another is left out
+    month = made.filter("Year = 1995 AND Month = 3 AND flight_hour < 18")
+    writers.write_table(month, base, "features", ("Year", "Month"))
+    batch.run_marts(spark, path, gold)
+    whole = batch.run_marts(spark, path, f"{base}/full")
+    for name, p in marts.items():
+        after = stored_files(p)
+        assert {f for f in before[name] if after.get(f) != before[name][f]} == {f for f in before[name] if "Year=1995/Month=3/" in f}
+        rows = lambda where: sorted(map(repr, spark.read.parquet(where).drop("snapshot_ts").collect()))
+        assert rows(p) == rows(whole[name])
+    settled = {name: stored_files(p) for name, p in marts.items()}
+    batch.run_marts(spark, path, gold)
+    assert {name: stored_files(p) for name, p in marts.items()} == settled

@@ -30,10 +30,34 @@ def test_small_stored_profiles_are_broadcast(spark, root, tmp_path):
     flights = spark.read.parquet(write_table(adapters.flights(spark, root), str(tmp_path), "silver"))
     profiles = store_profiles(build_profiles(flights, adapters.holidays(spark, root)), str(tmp_path / "profiles"))
     text = plan(flight_features(flights, profiles, ("rates", "rolling", "location", "holidays")))
-    assert text.count("BroadcastHashJoin") == 2  # rates with departures, carrier-days with holidays
+    assert text.count("BroadcastHashJoin") == 6  # four rates, departures, carrier-days with holidays
     assert "SortMergeJoin" not in text
 
 
+def test_rates_and_sizes_do_not_move_flights(spark, root):
+    """The flights' own join aside, no exchange lies in the plans of the rates."""
+    from skyline.catalog import load
+    from skyline.sources import adapters
+
+    queries, _ = load()
+    own = plan(adapters.flights(spark, root)).count("Exchange hashpartitioning")
+    for name in ("f02_carrier_delay_rate", "f03_route_delay_rate", "f04_time_delay_rate", "f05_rates_together", "f31_airport_type"):
+        text = plan(queries[name](spark, root))
+        assert text.count("Exchange hashpartitioning") == own, name
+        assert "BroadcastHashJoin" in text
+
+
+def test_quantiles_hold_no_values_in_aggregates(spark, root):
+    """Quantiles come from a histogram: no object aggregate keeps the values of a group."""
+    from skyline.catalog import load
+
+    queries, _ = load()
+    for name in ("f21_delay_percentiles", "g02_reliability_metrics", "h01_when_by_hour", "h04_where_airports", "w01_why_weather",
+                 "l03_connection_risk", "l08_turn_times", "l09_reliability_scores", "l10_carrier_comparison"):
+        text = plan(queries[name](spark, root))
+        assert "percentile" not in text and "ObjectHashAggregate" not in text, name
+
+
 def test_look_back_bounds_the_scrape_date(spark, tmp_path):
     import datetime as dt
 
