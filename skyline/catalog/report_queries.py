@@ -436,12 +436,12 @@ SELECT {', '.join(_SEEN)} FROM live_clean WHERE carrier_code = 'C3' AND status =
 
 
 @entry("l16_search_stored", f"""
-SELECT {', '.join(_SEEN)} FROM live_clean WHERE carrier_code = 'C3' AND origin_airport = 'ATL' AND destination_airport = 'ORD' ORDER BY flight_id, timestamp LIMIT 1000""")
+SELECT {', '.join(_SEEN)} FROM live_clean WHERE carrier_code = 'C3' AND origin_airport = 'ATL' ORDER BY flight_id, timestamp LIMIT 1000""")
 def search_stored(spark, root):
     """A search over flights stored in the order of the fields that searches name."""
     fields = ("carrier_code", "origin_airport", "destination_airport")
     path = write_searchable(clean_flights(spark, root), scratch_path(spark, "searchable"), "flights", fields, fields)
-    return live.search_flights(spark.read.parquet(path), {"carrier": "c3", "origin": "atl", "destination": "ord", "limit": 1000}).select(*_SEEN)
+    return live.search_flights(spark.read.parquet(path), {"carrier": "c3", "origin": "atl", "limit": 1000}).select(*_SEEN)
 
 
 entry("l17_flight_summary", f"""
