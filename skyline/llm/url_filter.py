@@ -134,9 +134,12 @@ def page_links(pages: DataFrame) -> DataFrame:
     bare = _decoded(F.regexp_extract(refresh, r"(?i)\burl\s*=\s*([^\"'\s>;]+)", 1))
     found = F.array(_attribute(link, "href"), F.when(target != "", target).otherwise(bare))
     base = _attribute(F.regexp_extract("html", r"(?i)<base\b[^>]*\bhref\b[^>]*>", 0), "href")
-    rows = pages.select("url", F.when(base != "", base).alias("base"), F.explode(found).alias("target")).filter("target <> ''")
-    whole = resolve(F.coalesce(resolve(F.col("url"), F.col("base")), F.col("url")), F.col("target"))
-    return rows.select("url", whole.alias("target")).filter("target is not null")
+    rows = pages.select("url", base.alias("base"), F.explode(found).alias("target")).filter("target <> ''")
+    # few pages have a base; only there is the url resolved twice
+    plain = rows.filter("base = ''").select("url", "url", "target")
+    moved = rows.filter("base <> ''").select("url", resolve(F.col("url"), F.col("base")).alias("place"), "target")
+    rows = plain.toDF("url", "place", "target").union(moved.select("url", F.coalesce("place", "url").alias("place"), "target"))
+    return rows.select("url", resolve(F.col("place"), F.col("target")).alias("target")).filter("target is not null")
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] | DataFrame, links: DataFrame | None = None) -> DataFrame:
@@ -156,10 +159,11 @@ def judge(pages: DataFrame, rules: Sequence[Rule] | DataFrame, links: DataFrame
     known = page_links(pages.select(url.alias("url"), F.col("html").cast("string").alias("html"))) if "html" in pages.columns else None
     if links is not None:
         given = links.select(F.col("url").cast("string").alias("url"), F.col("target").cast("string").alias("target"))
+        given = given.select("url", resolve(F.col("url"), F.col("target")).alias("target"))
         known = given if known is None else known.union(given)
     if known is None:
         known = pages.select(url.alias("url"), url.alias("target")).filter("false")
-    known = known.select("url", resolve(F.col("url"), F.col("target")).alias("target")).filter("url is not null and target is not null")
+    known = staged(known.filter("url is not null and target is not null"), "targets")
     ends = [(host(F.col(c)), path(F.col(c)), node(F.col(c))) for c in ("url", "target")]
     ends = [F.struct(h.alias("host"), p.alias("path"), n.alias("node")) for h, p, n in ends]
     known = staged(known.select(ends[0].alias("a"), ends[1].alias("b")), "links")
