@@ -74,7 +74,7 @@ def rebuilt(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(HEADS))
     sizes = staged(sizes.select("conv_id", "own", base.alias("base"), wanted.alias("wanted")), "sizes")
     there = sizes.select(F.col("conv_id").alias("base"), F.col("own").alias("there"))
-    sizes = sizes.join(there, "base", "left").withColumn("taken", F.coalesce(F.least("wanted", "there"), F.lit(0)))
+    sizes = sizes.join(there, "base", "left").withColumn("taken", F.least("wanted", F.coalesce("there", F.lit(0))))
     sizes = sizes.withColumn("size", F.col("taken") + F.greatest(F.col("own") - F.col("wanted"), F.lit(0)))
     sizes = staged(sizes.select("conv_id", "base", "wanted", "taken", "size"), "rebuilt")
     heads = placed.filter(F.col("place") < HEADS).withColumnRenamed("conv_id", "base")
