@@ -1,12 +1,14 @@
 """Steps that must not grow with their input in one task, in the cache or on disk."""
 
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyline.catalog import feed_queries
 from skyline.sources import readers
+from skyline.streaming import ingest
 
 
 @pytest.fixture
@@ -47,3 +49,27 @@ def test_drops_of_the_history_are_written_by_many_tasks_in_the_order_of_the_flig
         files = [f for f in files if f]
         assert len(files) > 1
         assert all(max(a) <= min(b) for a, b in zip(files, files[1:]))
+
+
+def test_a_batch_is_stored_and_not_cached(spark, make, tmp_path, monkeypatch):
+    held, write = [], ingest.write_table
+    cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(ingest, "write_table", lambda *a, **b: (held.append(cached()), write(*a, **b))[1])
+    before = cached()
+    flight = {"flight_id": "f1", "carrier_code": "C1", "origin_airport": "ORD", "destination_airport": "ATL", "timestamp": "2024-03-10T10:00:00", "gate": "B2"}
+    sink = str(tmp_path / "clean")
+    for n, more in enumerate((["{"], [])):
+        docs = make([(text, f"scraped/flights/{n}") for text in (json.dumps({"flights": [flight, flight]}), *more)], "value string, path string")
+        ingest.store_batch(docs, n, "flights", sink, str(tmp_path / "rejects"))
+    assert held == [before, before] and cached() == before
+    # readers pass over the work files, which hold the last batch only
+    assert [(r["flight_id"], r["extra_fields"]) for r in spark.read.parquet(sink).collect()] == [("f1", {"gate": "B2"})] * 2
+    assert spark.read.parquet(f"{sink}/_batch/flights-direct/clean").count() == 1
+    assert spark.read.parquet(f"{sink}/_batch/flights-direct/parsed").filter("raw_data IS NOT NULL").count() == 0
+    assert spark.read.json(str(tmp_path / "rejects"), recursiveFileLookup=True).first()["raw_data"] == "{"
+
+
+def test_document_drops_are_compressed_files_of_bounded_length(spark, tmp_path):
+    feed_queries.drop_documents(spark.range(250_001, numPartitions=1).select(F.col("id").cast("string").alias("value")), str(tmp_path / "drop"))
+    files = glob.glob(f"{tmp_path}/drop/*.txt.gz")
+    assert len(files) == 3 and spark.read.text(str(tmp_path / "drop")).distinct().count() == 250_001
