@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyline.catalog import feed_queries
-from skyline.sources import readers
+from skyline.sources import adapters, readers
 from skyline.streaming import ingest
 
 
@@ -73,3 +73,27 @@ def test_document_drops_are_compressed_files_of_bounded_length(spark, tmp_path):
     feed_queries.drop_documents(spark.range(250_001, numPartitions=1).select(F.col("id").cast("string").alias("value")), str(tmp_path / "drop"))
     files = glob.glob(f"{tmp_path}/drop/*.txt.gz")
     assert len(files) == 3 and spark.read.text(str(tmp_path / "drop")).distinct().count() == 250_001
+
+
+def test_readings_of_a_large_event_file_are_made_in_many_tasks(spark, tmp_path):
+    one = spark.range(250_001).select(
+        F.col("id").alias("event_id"), (F.col("id") % 977).alias("user_id"), (F.col("id") / 7).alias("value"),
+        F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    one.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    for made, each in ((adapters.weather, 24), (adapters.live_weather, 1)):
+        tasks = made(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 250_001 * each
+        assert max(r["count"] for r in tasks) <= 100_000 * each
+
+
+def test_live_legs_of_large_tables_are_made_in_many_tasks(spark, tmp_path):
+    day = F.lit("1995-03-04").cast("timestamp")
+    lines = spark.range(250_001).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+        (F.col("id") * 1.5).alias("l_extendedprice"))
+    orders = spark.range(250_001).select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), day.alias("o_orderdate"))
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    tasks = adapters.live_flights(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 250_001
+    assert max(r["count"] for r in tasks) <= 100_000
