@@ -178,3 +178,20 @@ def test_without_labels_or_rows(docs, spark):
     assert toxicity.score(docs([(1, "a b")]), none).first()["predicted"] == 0
     assert quality_ranker.score(docs([(1, "a b")]), none).first()["predicted"] == 1
     assert toxicity.score(docs([]), none).count() == 0 and quality_ranker.score(docs([]), none).count() == 0
+
+
+def test_quality_is_learnt_from_every_labelled_document(spark, docs, monkeypatch):
+    """The labels of any part of the documents count: the cut lies where the share of all of them says, whatever their number."""
+    monkeypatch.setattr(quality_ranker, "FEW", 10)
+    values = [((n * 7919) % 5003) / 7 for n in range(5003)] + [3.0] * 500
+    frame = spark.createDataFrame([(v,) for v in values], "value double")
+    assert [quality_ranker.nth(frame, n) for n in (0, 21, 400, 2900, 5502)] == [sorted(values)[n] for n in (0, 21, 400, 2900, 5502)]
+    rng = np.random.default_rng(1)
+    many = [(n, int(n % 5 > 0), *rng.random(len(quality_ranker.FEATURES)).tolist()) for n in range(22_000)]
+    names = ", ".join(f"`{c}` double" for c in quality_ranker.FEATURES)
+    labelled = spark.createDataFrame(many, f"doc_id bigint, label int, {names}")
+    groups = quality_ranker._groups(labelled, 17_600, 4_400)
+    sides = groups.select(*[F.flatten(F.collect_list(c)).alias(c) for c in ("good", "bad")]).first()
+    assert len({tuple(r) for r in sides["good"]}) == 17_600 == len(sides["good"])
+    assert len({tuple(r) for r in sides["bad"]}) == 4_400
+    assert groups.select(F.max(F.size("good") * F.size("bad"))).first()[0] < 8 * quality_ranker.MATES ** 2
