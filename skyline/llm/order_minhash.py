@@ -1,24 +1,23 @@
 """Near-duplicates by Order MinHash, verified by banded alignment.
 
-A text's k-mers are its runs of two words, each labelled with its occurrence
-number, so that a repeated run counts as often as it occurs. Each of
+A text's k-mers are its words, each labelled with its occurrence
+number, so that a repeated word counts as often as it occurs. Each of
 ``SKETCHES`` hash functions picks the ``PICKED`` least labelled k-mers of a text;
 the picked k-mers in text order make one sketch. Two texts share a sketch only
-if they share k-mers *in the same order*, which follows edit similarity. Short k-mers and many
-sketches give pairs at the threshold itself a good chance to share one; the tests state it.
+if they share k-mers *in the same order*, which follows edit similarity. Single words and four picks tell
+a pair at the threshold, which shares two words of three, from texts with a passage in common; the tests state it.
 
-A set is all texts with one sketch. Texts are candidates if they share ``AGREE`` sketches; for texts of fewer than
-``SHORT`` words, which have few k-mers, one is enough in sets of up to ``SMALL``. A set is settled when all candidates in it are linked to one another or
-compared, in this order:
+A set is all texts with one sketch, whatever its size. Texts are candidates if they share ``AGREE`` sketches; for
+texts of fewer than ``SHORT`` words one is enough. All candidates are linked to one another or compared, in this order:
 
 1. with the set's centre, the text whose sketches are shared most; each text with its best
    centre first, and with others only if links do not join them already;
-2. a large set in which one part has nearly all texts gives its few pairs across parts;
-3. the other sets that links have not made one are split by every two, then three, of their sketches that a text has.
-   Such a set of ``AGREE`` sketches has candidates only; its centre is tried, and then every two that no links join yet.
+2. the texts outside the set's largest part with one text of that part;
+3. every two candidates that no links join yet.
 
-A passage that many texts share gives them a sketch or two in common, hardly three, so no pair is made of most of
-them. Lengths rule pairs out before any text is fetched. A comparison aligns the two word sequences
+Lengths and tallies rule pairs out before any text is fetched. A tally counts a text's words by ``BINS`` hash bins;
+two texts have no more words in common than their tallies, and each word of the longer one without a partner is an edit.
+A comparison aligns the two word sequences
 inside a diagonal band wide enough for the threshold, so for a candidate a similarity of at least ``SIMILARITY`` is
 found exactly. Everything is keyed by the digest of the whole text: copies are one text, and a
 doc_id that occurs with several texts takes part with each of them.
@@ -43,15 +42,15 @@ from skyline.llm.components import components
 from skyline.llm.hashing import BASE, BLANKS, WIDE, mix, shingle_hashes, text_bytes, word_hashes
 from skyline.llm.shared import arrow_batches, staged
 
-K = 2
+K = 1
 SKETCHES = 48
-PICKED = 2
+PICKED = 4
 SIMILARITY = 0.8
 SEED = 17
-#: Sketches that candidates share, and words below which one is enough, in sets of up to ``SMALL`` texts.
-AGREE, SHORT, SMALL = 3, 24, 512
-#: Larger sets than this, with no more than so many pairs across parts for each text, are compared without being split.
-BROAD, LEAN = 256, 16
+#: Sketches that candidates share, and words below which one is enough.
+AGREE, SHORT = 3, 24
+#: Bins of a tally.
+BINS = 256
 _LOW = WIDE(0xFFFFFFFF)
 _TOP = WIDE(0xFFFFFFFFFFFFFFFF)
 
@@ -100,22 +99,33 @@ def sketch(hashes: np.ndarray, bounds: np.ndarray, k: int = K, sketches: int = S
     return out
 
 
+def _tallied(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many words each row has in each bin."""
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    bins = (hashes & WIDE(BINS - 1)).astype(np.int64)
+    return np.bincount(rows * BINS + bins, minlength=(len(bounds) - 1) * BINS).reshape(-1, BINS)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, digest, words, sketches) of every row."""
+    """(doc_id, digest, words, sketches, tally) of every row."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         digests = [hashlib.md5(data[offsets[i]:offsets[i + 1]], usedforsecurity=False).digest() for i in range(batch.num_rows)]
         words, made, sizes = np.zeros(batch.num_rows, np.int32), [], np.zeros(batch.num_rows, np.int64)
+        tallies = np.zeros((batch.num_rows, BINS), np.int32)
         for first, bounds, hashes in word_hashes(batch.column("text"), BLANKS):
             count = np.diff(bounds)
             words[first:first + len(count)] = count
             rows = sketch(hashes, bounds)
             made.append(rows)
             sizes[first:first + len(count)] = np.where(count > 0, SKETCHES, 0)
+            tallies[first:first + len(count)] = _tallied(hashes, bounds)
         flat = np.concatenate(made).reshape(-1) if made else np.zeros(0, WIDE)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64)))
+        binned = pa.ListArray.from_arrays(pa.array(np.arange(0, tallies.size + 1, BINS, dtype=np.int32)), pa.array(tallies.reshape(-1)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(words), lists], ["doc_id", "digest", "words", "sketches"]
+            [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(words), lists, binned],
+            ["doc_id", "digest", "words", "sketches", "tally"],
         )
 
 
@@ -304,26 +314,53 @@ def _centres(rows: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame, links: _Links) -> DataFrame:
-    """The rows of sets that links have not made one, with ``part``, the set's ``size``, and how many pairs lie ``across`` its parts."""
-    rows = links.labelled(rows.drop("size"), "digest", "part").repartition("key")
-    sizes = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("inner"))
-    sizes = sizes.filter("parts > 1").select("key", "size", ((F.col("size") * F.col("size") - F.col("inner")) / 2).alias("across"))
-    return staged(rows.join(sizes, "key"), "open")
-
-
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """Every two texts of a set that no links join."""
-    side = lambda own, part, words: rows.select("key", F.col("digest").alias(own), F.col("part").alias(part), F.col("words").alias(words))
-    return side("a", "pa", "wa").join(side("b", "pb", "wb"), "key").filter("a < b AND pa <> pb").select("a", "b", "wa", "wb")
-
-
-def _narrowed(rows: DataFrame) -> DataFrame:
-    """The texts of each set in sets with one more of their ``keys`` in common, from rows (key, last, keys, ...)."""
-    further = F.sequence(F.col("last") + 1, F.size("keys") - 1)
-    step = F.transform(further, lambda i: F.struct(F.xxhash64("key", F.get("keys", i)).alias("key"), i.alias("last")))
-    rows = rows.filter(F.col("last") + 1 < F.size("keys"))
-    return rows.select("digest", "words", "fame", F.explode(step).alias("next")).select("next.key", "next.last", "digest", "words", "fame")
+    """The rows of sets that links have not made one, with their ``part`` and the set's largest part, ``main``."""
+    rows = links.labelled(rows.select("key", "digest", "words"), "digest", "part").repartition("key")
+    parts = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    sets = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts"))
+    return staged(rows.join(sets.filter("parts > 1").select("key", F.col("most.part").alias("main")), "key"), "open")
+
+
+def _met_again(rows: DataFrame) -> DataFrame:
+    """(a, b, wa, wb, n): each text outside its set's largest part with one text of that part, and how many sets bring them together."""
+    one = F.max(F.struct(F.xxhash64("digest"), "digest", "words")).alias("one")
+    picked = rows.filter("part = main").groupBy("key").agg(one).select("key", F.col("one.digest").alias("a"), F.col("one.words").alias("wa"))
+    others = rows.filter("part <> main").select("key", F.col("digest").alias("b"), F.col("words").alias("wb"))
+    met = others.join(picked, "key").groupBy("a", "b")
+    return met.agg(F.first("wa").alias("wa"), F.first("wb").alias("wb"), F.count(F.lit(1)).alias("n"))
+
+
+def _agreed(met: DataFrame) -> DataFrame:
+    """The pairs (a, b, wa, wb, n) that are candidates by their ``n`` common sets."""
+    return met.filter((F.col("n") >= AGREE) | (F.least("wa", "wb") < SHORT))
+
+
+def _is_short(words: Column, least: float) -> Column:
+    """Whether a text can be a candidate of one with fewer than ``SHORT`` words."""
+    return words * least < SHORT
+
+
+def _candidates(rows: DataFrame, profile: DataFrame, least: float) -> DataFrame:
+    """Every two candidates that no links join and whose tallies allow ``least``; each pair comes from one of its sets only."""
+    # all sets of two texts in different parts are open, so their open sets tell how many they share
+    held = rows.groupBy("digest", "part").agg(F.array_sort(F.collect_list(F.struct("key", "main"))).alias("sets"))
+    texts = profile.select("digest", "words", "tally").join(held.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
+    held = held.join(texts, "digest").filter((F.size("sets") >= AGREE) | _is_short(F.col("words"), least))
+    held = staged(held.select("digest", "part", "words", "tally", F.col("sets.key").alias("keys"), F.explode("sets").alias("set")), "held")
+    held = held.select("set.key", "set.main", "digest", "part", "words", "tally", "keys")
+    a, b = held.alias("a"), held.filter("part <> main").alias("b")
+    longer, shared = F.greatest("a.words", "b.words"), F.array_intersect("a.keys", "b.keys")
+    most = F.floor((1 - least) * longer + 1e-9)
+    common = F.aggregate(F.zip_with("a.tally", "b.tally", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    met = (
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part"))
+        & ((F.col("a.part") == F.col("a.main")) | (F.col("a.digest") < F.col("b.digest")))
+        & (F.abs(F.col("a.words") - F.col("b.words")) <= most)
+        & (F.array_min(shared) == F.col("a.key"))
+        & ((F.size(shared) >= AGREE) | (F.least("a.words", "b.words") < SHORT))
+        & (common >= longer - most)
+    )
+    return a.join(b, met).select(F.col("a.digest").alias("a"), F.col("b.digest").alias("b"), F.col("a.words").alias("wa"), F.col("b.words").alias("wb"))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -333,39 +370,24 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, Data
     """
     arrow_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = staged(docs.mapInArrow(_profile, "doc_id bigint, digest binary, words int, sketches array<bigint>"), "profile")
+    schema = "doc_id bigint, digest binary, words int, sketches array<bigint>, tally array<int>"
+    profile = staged(docs.mapInArrow(_profile, schema), "profile")
     texts = profile.dropDuplicates(["digest"]).select("digest", "words", "sketches")
     rows = texts.select("digest", "words", F.posexplode("sketches").alias("place", "sketch"))
     rows = _shared(rows.select(F.xxhash64("place", "sketch").alias("key"), "digest", "words"))
-    short = lambda words: F.col(words) * least < SHORT
     each = rows.groupBy("digest").agg(F.sum("size").alias("fame"), F.count(F.lit(1)).alias("n"), F.first("words").alias("words"))
-    each = staged(each.filter((F.col("n") >= AGREE) | short("words")).select("digest", "fame"), "fame")
+    each = staged(each.filter((F.col("n") >= AGREE) | _is_short(F.col("words"), least)).select("digest", "fame"), "fame")
     rows = staged(rows.join(each, "digest"), "ranked")
     links = _Links(docs, each, least)
 
-    met = _centres(rows).filter((F.col("n") >= AGREE) | (F.least("wa", "wb") < SHORT))
+    met = _agreed(_centres(rows))
     best = met.groupBy("b").agg(F.max(F.struct("n", "a", "wa", "wb")).alias("best")).select("b", "best.a", "best.wa", "best.wb")
     links.compare(best)
     links.compare(met)
     rows = _open(rows, links)
-    few = _all_pairs(rows.filter(short("words") & (F.col("size") <= SMALL)))
-    # where one part has most of a set, its few pairs with the rest are compared at once
-    lean = (F.col("size") > BROAD) & (F.col("across") <= LEAN * F.col("size"))
-    links.compare(few.filter(F.least("wa", "wb") < SHORT).union(_all_pairs(rows.filter(lean))))
-    rows = rows.filter(~lean)
-
-    # a text's sketches that other texts have and that are not settled yet
-    opens = rows.groupBy("digest").agg(F.array_sort(F.collect_set("key")).alias("keys"), F.first("words").alias("words"), F.first("fame").alias("fame"))
-    opens = staged(opens.filter(F.size("keys") >= AGREE), "opens")
-    rows = opens.select("digest", "words", "fame", "keys", F.posexplode("keys").alias("last", "key"))
-    for level in range(2, AGREE + 1):
-        rows = _shared(_narrowed(rows))
-        if level == AGREE:
-            links.compare(_centres(rows))
-        left = _open(rows, links)
-        if level == AGREE:
-            links.compare(_all_pairs(left))
-        rows = left.select("key", "last", "digest", "words", "fame").join(opens.select("digest", "keys"), "digest")
+    links.compare(_agreed(_met_again(rows)))
+    rows = _open(rows, links)
+    links.compare(_candidates(rows, profile, least))
 
     counts = links.found.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_links"))
     named = links.labelled(texts.select("digest"), "digest", "part").join(counts, "digest", "left")

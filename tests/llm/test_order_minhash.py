@@ -92,6 +92,44 @@ def test_pairs_at_the_threshold_and_short_texts(docs):
         assert (got[i] == i - 2000) == near
 
 
+def test_short_texts_are_compared_in_sets_of_any_size(docs, monkeypatch):
+    """No size of a set decides which of its texts are compared; texts that differ make up most of each set."""
+    monkeypatch.setattr(order_minhash, "SMALL", 2, raising=False)
+    rng = random.Random(12)
+    pool, rows = [f"c{i}" for i in range(14)], []
+    for i in range(90):
+        value = [rng.choice(pool) for _ in range(rng.randint(6, 9))]
+        rows += [(i, " ".join(value)), (1000 + i, " ".join(_changed(rng, value, 1)))]
+    rng.shuffle(rows)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(rows)).collect()}
+    assert got == _brute(rows)
+
+
+def test_a_passage_or_repeated_words_make_few_pairs(docs, monkeypatch):
+    """Texts that share a passage or a word's repeats are ruled out before they are paired, unless their words may fit."""
+    made, compare = [], order_minhash._Links.compare
+    monkeypatch.setattr(order_minhash._Links, "compare", lambda self, pairs: (made.append(pairs.count()), compare(self, pairs))[1])
+    rng = random.Random(13)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(45)
+    rows = [(i, " ".join([*passage, *fresh(55)])) for i in range(80)] + [(100 + i, " ".join(["on", "it"] * 30 + fresh(40))) for i in range(80)]
+    got = order_minhash.near_duplicates(docs(rows)).collect()
+    assert all(r["class_id"] == r["doc_id"] and r["n_links"] == 0 for r in got)
+    assert made[-1] < 160
+
+
+def test_tallies_never_hide_common_words():
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, 400, n).astype(np.uint64) for n in (0, 1, 9, 80, 300, 2000)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    tallies = order_minhash._tallied(np.concatenate(rows), bounds)
+    assert tallies.sum(axis=1).tolist() == [len(x) for x in rows]
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows):
+            common = sum(min((x == v).sum(), (y == v).sum()) for v in range(400))
+            assert common <= np.minimum(tallies[i], tallies[j]).sum()
+
+
 def test_edges_ties_repeats_and_clashing_names(docs):
     rows = docs([*EDGE_ROWS, (907, "word " * 120_000)], words=F.lit(1), sketches=F.lit("x"), class_id=F.lit(0), digest=F.lit("y"))
     got = order_minhash.near_duplicates(rows).collect()
