@@ -15,8 +15,10 @@ texts of fewer than ``SHORT`` words one is enough. All candidates are linked to
 2. the texts outside the set's largest part with one text of that part;
 3. every two candidates that no links join yet.
 
-Lengths and tallies rule pairs out before any text is fetched. A tally counts a text's words by ``BINS`` hash bins;
-two texts have no more words in common than their tallies, and each word of the longer one without a partner is an edit.
+Lengths and tallies rule pairs out before any text is fetched. A tally counts a text's words by ``BINS`` hash bins; kept of
+it is one bit for each bin and each of ``LEVELS`` that its count reaches. A bit that only one of two texts has stands for a word
+without a partner, which is an edit. In the last step a text leaves out sets where no other text has a fitting length, and is
+dealt to all of its sets but the two largest: two texts that share three sets share one of the others.
 A comparison aligns the two word sequences
 inside a diagonal band wide enough for the threshold, so for a candidate a similarity of at least ``SIMILARITY`` is
 found exactly. Everything is keyed by the digest of the whole text: copies are one text, and a
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyline.llm import bitfilter
@@ -49,8 +51,10 @@ SIMILARITY = 0.8
 SEED = 17
 #: Sketches that candidates share, and words below which one is enough.
 AGREE, SHORT = 3, 24
-#: Bins of a tally.
-BINS = 256
+#: Bins of a tally, and the counts that are told apart.
+BINS, LEVELS = 1024, (1, 2, 4)
+#: Bits of a set's key that stay beside its size.
+KEY_BITS = 44
 _LOW = WIDE(0xFFFFFFFF)
 _TOP = WIDE(0xFFFFFFFFFFFFFFFF)
 
@@ -106,39 +110,39 @@ def _tallied(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.bincount(rows * BINS + bins, minlength=(len(bounds) - 1) * BINS).reshape(-1, BINS)
 
 
+def _marked(tallies: np.ndarray) -> np.ndarray:
+    """The levels that each bin reaches, as rows of 64-bit values.
+
+    If a bit is set in one row and not in another, the first has a word in that bin more than the other;
+    of the bits of one bin, each stands for another word.
+    """
+    return np.concatenate([np.packbits(tallies >= level, axis=1).view(np.int64) for level in LEVELS], axis=1)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, digest, words, sketches, tally) of every row."""
+    """(doc_id, digest, words, sketches, bits) of every row."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         digests = [hashlib.md5(data[offsets[i]:offsets[i + 1]], usedforsecurity=False).digest() for i in range(batch.num_rows)]
         words, made, sizes = np.zeros(batch.num_rows, np.int32), [], np.zeros(batch.num_rows, np.int64)
-        tallies = np.zeros((batch.num_rows, BINS), np.int32)
+        width = BINS * len(LEVELS) // 64
+        bits = np.zeros((batch.num_rows, width), np.int64)
         for first, bounds, hashes in word_hashes(batch.column("text"), BLANKS):
             count = np.diff(bounds)
             words[first:first + len(count)] = count
             rows = sketch(hashes, bounds)
             made.append(rows)
             sizes[first:first + len(count)] = np.where(count > 0, SKETCHES, 0)
-            tallies[first:first + len(count)] = _tallied(hashes, bounds)
+            bits[first:first + len(count)] = _marked(_tallied(hashes, bounds))
         flat = np.concatenate(made).reshape(-1) if made else np.zeros(0, WIDE)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64)))
-        binned = pa.ListArray.from_arrays(pa.array(np.arange(0, tallies.size + 1, BINS, dtype=np.int32)), pa.array(tallies.reshape(-1)))
+        binned = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, width, dtype=np.int32)), pa.array(bits.reshape(-1)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(words), lists, binned],
-            ["doc_id", "digest", "words", "sketches", "tally"],
+            ["doc_id", "digest", "words", "sketches", "bits"],
         )
 
 
-def _bodies(chosen: Broadcast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(digest, text) of the rows whose digest is in the filter."""
-        for batch in batches:
-            digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), np.int64)[::2]
-            yield batch.filter(pa.array(bitfilter.contains(chosen, digests)))
-
-    return run
-
-
 def edits_within(a: list[np.ndarray], b: list[np.ndarray], most: np.ndarray) -> np.ndarray:
     """Edit distances of pairs of sequences, exact up to ``most`` each; larger ones give ``most + 1``.
 
@@ -248,12 +252,10 @@ def _verify(least: float):
 class _Links:
     """Verified links so far, the parts they join, and the pairs that were compared."""
 
-    def __init__(self, docs: DataFrame, texts: DataFrame, least: float) -> None:
-        """``texts`` names in ``digest`` those that may be compared; their bodies are read once, and few others."""
+    def __init__(self, docs: DataFrame, least: float) -> None:
         self.least = least
         digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest")
-        bodies = _chosen(docs.select(digest, F.coalesce("text", F.lit("")).alias("text")), texts)
-        self.bodies = staged(bodies.dropDuplicates(["digest"]), "bodies")
+        self.bodies = docs.select(digest, F.coalesce("text", F.lit("")).alias("text"))
         self.found: DataFrame | None = None
         self.tried: DataFrame | None = None
         self.parts: DataFrame | None = None
@@ -266,8 +268,7 @@ class _Links:
 
     def compare(self, pairs: DataFrame) -> None:
         """Verify pairs (a, b) with their lengths (wa, wb) whose texts lie in different parts, once each."""
-        near = F.abs(F.col("wa") - F.col("wb")) <= (1 - self.least) * F.greatest("wa", "wb") + 1e-9
-        pairs = pairs.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs.filter(_fits(F.col("wa"), F.col("wb"), self.least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tried is not None:
             pairs = self.labelled(self.labelled(pairs, "a", "pa"), "b", "pb").filter("pa <> pb").select("a", "b")
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
@@ -276,10 +277,12 @@ class _Links:
         if pairs.isEmpty() and self.found is not None:
             return
         # only the bodies that these pairs need are moved
-        bodies = _chosen(self.bodies, pairs.select(F.explode(F.array("a", "b")).alias("digest")))
+        needed = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+        bodies = _chosen(self.bodies, needed).dropDuplicates(["digest"])
         left = bodies.select(F.col("digest").alias("a"), F.col("text").alias("left"))
         right = bodies.select(F.col("digest").alias("b"), F.col("text").alias("right"))
-        made = staged(pairs.join(left, "a").join(right, "b").mapInArrow(_verify(self.least), "a binary, b binary"), "links")
+        # a pair is small before the join and long to align after it
+        made = staged(_dealt(pairs, "a", "b").join(left, "a").join(right, "b").mapInArrow(_verify(self.least), "a binary, b binary"), "links")
         known = self.found
         self.found = made if known is None else known.union(made)
         if known is None or not made.isEmpty():
@@ -287,9 +290,14 @@ class _Links:
 
 
 def _chosen(bodies: DataFrame, texts: DataFrame) -> DataFrame:
-    """(digest, text) of the texts named in ``texts``, and of few others; no body is moved for this."""
+    """(digest, text) of the texts named in ``texts``, and of few others; only digests go to Python, and no body is moved."""
     chosen = bitfilter.build(texts.select(low_half("digest").alias("half")))
-    return bodies.select("digest", "text").mapInArrow(_bodies(chosen), "digest binary, text string")
+
+    @F.arrow_udf("boolean")
+    def named(digests: pa.Array) -> pa.Array:
+        return pa.array(bitfilter.contains(chosen, np.frombuffer(b"".join(digests.to_pylist()), np.int64)[::2]))
+
+    return bodies.filter(named("digest"))
 
 
 def low_half(column: str) -> Column:
@@ -298,11 +306,20 @@ def low_half(column: str) -> Column:
     return F.conv(swapped, 16, -10).cast("bigint")
 
 
+def _fits(a: Column, b: Column, least: float) -> Column:
+    """Whether texts of so many words can be alike."""
+    return F.abs(a - b) <= (1 - least) * F.greatest(a, b) + 1e-9
+
+
+def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """Dealt by these columns. With a given number of partitions, later steps by the same columns need no further shuffle, and few rows are not merged."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows of sets with two texts or more, and the set's ``size``."""
-    rows = rows.repartition("key")
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return staged(rows.join(sizes, "key"), "shared")
+    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    return staged(_dealt(rows, "key").withColumn("size", size).filter("size > 1"), "shared")
 
 
 def _centres(rows: DataFrame) -> DataFrame:
@@ -314,11 +331,19 @@ def _centres(rows: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame, links: _Links) -> DataFrame:
-    """The rows of sets that links have not made one, with their ``part`` and the set's largest part, ``main``."""
-    rows = links.labelled(rows.select("key", "digest", "words"), "digest", "part").repartition("key")
+    """The rows of sets that links have not made one, with their ``part``, the set's ``size`` and its largest part, ``main``."""
+    rows = _dealt(links.labelled(rows.select("key", "digest", "words"), "digest", "part"), "key")
     parts = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    sets = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts"))
-    return staged(rows.join(sets.filter("parts > 1").select("key", F.col("most.part").alias("main")), "key"), "open")
+    sets = parts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"))
+    return rows.join(sets.filter("parts > 1").select("key", "size", F.col("most.part").alias("main")), "key")
+
+
+def _in_reach(rows: DataFrame, least: float) -> DataFrame:
+    """The rows whose set has another text of a fitting length. The next shorter and the next longer text tell."""
+    by_length = Window.partitionBy("key").orderBy("words")
+    beside = rows.withColumn("below", F.lag("words").over(by_length)).withColumn("above", F.lead("words").over(by_length))
+    fits = _fits(F.col("words"), F.col("below"), least) | _fits(F.col("words"), F.col("above"), least)
+    return beside.filter(fits).drop("below", "above")
 
 
 def _met_again(rows: DataFrame) -> DataFrame:
@@ -342,27 +367,38 @@ def _is_short(words: Column, least: float) -> Column:
 
 def _candidates(rows: DataFrame, profile: DataFrame, least: float) -> DataFrame:
     """Every two candidates that no links join and whose tallies allow ``least``; each pair comes from one of its sets only."""
+    # A set's number begins with its size, so that all texts have their sets in one order, small ones first.
+    size = F.least(F.col("size"), F.lit(1 << (62 - KEY_BITS)))
+    number = F.shiftleft(size, KEY_BITS).bitwiseOR(F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1)))
+    sets = F.array_sort(F.collect_list(F.struct(number.alias("number"), "main"))).alias("sets")
+    held = rows.groupBy("digest").agg(F.first("part").alias("part"), F.first("words").alias("words"), sets)
+    held = held.filter((F.size("sets") >= AGREE) | _is_short(F.col("words"), least))
     # all sets of two texts in different parts are open, so their open sets tell how many they share
-    held = rows.groupBy("digest", "part").agg(F.array_sort(F.collect_list(F.struct("key", "main"))).alias("sets"))
-    texts = profile.select("digest", "words", "tally").join(held.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
-    held = held.join(texts, "digest").filter((F.size("sets") >= AGREE) | _is_short(F.col("words"), least))
-    held = staged(held.select("digest", "part", "words", "tally", F.col("sets.key").alias("keys"), F.explode("sets").alias("set")), "held")
-    held = held.select("set.key", "set.main", "digest", "part", "words", "tally", "keys")
+    dealt = F.when(_is_short(F.col("words"), least), F.size("sets")).otherwise(F.size("sets") - (AGREE - 1))
+    bits = profile.select("digest", "bits").dropDuplicates(["digest"])
+    held = held.join(bits, "digest").select(
+        "digest", "part", "words", "bits", F.col("sets.number").alias("numbers"), F.explode(F.slice("sets", F.lit(1), dealt)).alias("set"))
+    held = staged(held.select("set.number", "set.main", "digest", "part", "words", "bits", "numbers"), "held")
     a, b = held.alias("a"), held.filter("part <> main").alias("b")
-    longer, shared = F.greatest("a.words", "b.words"), F.array_intersect("a.keys", "b.keys")
+    longer, shared = F.greatest("a.words", "b.words"), F.array_intersect("a.numbers", "b.numbers")
     most = F.floor((1 - least) * longer + 1e-9)
-    common = F.aggregate(F.zip_with("a.tally", "b.tally", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     met = (
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.part") != F.col("b.part"))
+        (F.col("a.number") == F.col("b.number")) & (F.col("a.part") != F.col("b.part"))
         & ((F.col("a.part") == F.col("a.main")) | (F.col("a.digest") < F.col("b.digest")))
         & (F.abs(F.col("a.words") - F.col("b.words")) <= most)
-        & (F.array_min(shared) == F.col("a.key"))
+        & (F.array_min(shared) == F.col("a.number"))
         & ((F.size(shared) >= AGREE) | (F.least("a.words", "b.words") < SHORT))
-        & (common >= longer - most)
+        & (_alone("a.bits", "b.bits") <= most) & (_alone("b.bits", "a.bits") <= most)
     )
     return a.join(b, met).select(F.col("a.digest").alias("a"), F.col("b.digest").alias("b"), F.col("a.words").alias("wa"), F.col("b.words").alias("wb"))
 
 
+def _alone(a: str, b: str) -> Column:
+    """The number of bits that only ``a`` has; so many words of that text at least have no partner in the other."""
+    only = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.aggregate(only, F.lit(0), lambda total, x: total + x)
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of every row, and (digest, part, n_links) of every distinct text.
 
@@ -370,7 +406,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, Data
     """
     arrow_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, digest binary, words int, sketches array<bigint>, tally array<int>"
+    schema = "doc_id bigint, digest binary, words int, sketches array<bigint>, bits array<bigint>"
     profile = staged(docs.mapInArrow(_profile, schema), "profile")
     texts = profile.dropDuplicates(["digest"]).select("digest", "words", "sketches")
     rows = texts.select("digest", "words", F.posexplode("sketches").alias("place", "sketch"))
@@ -378,15 +414,15 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, Data
     each = rows.groupBy("digest").agg(F.sum("size").alias("fame"), F.count(F.lit(1)).alias("n"), F.first("words").alias("words"))
     each = staged(each.filter((F.col("n") >= AGREE) | _is_short(F.col("words"), least)).select("digest", "fame"), "fame")
     rows = staged(rows.join(each, "digest"), "ranked")
-    links = _Links(docs, each, least)
+    links = _Links(docs, least)
 
     met = _agreed(_centres(rows))
     best = met.groupBy("b").agg(F.max(F.struct("n", "a", "wa", "wb")).alias("best")).select("b", "best.a", "best.wa", "best.wb")
     links.compare(best)
     links.compare(met)
-    rows = _open(rows, links)
+    rows = staged(_open(rows, links), "open")
     links.compare(_agreed(_met_again(rows)))
-    rows = _open(rows, links)
+    rows = staged(_in_reach(_open(rows, links), least), "reach")
     links.compare(_candidates(rows, profile, least))
 
     counts = links.found.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_links"))

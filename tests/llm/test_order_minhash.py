@@ -130,6 +130,42 @@ def test_tallies_never_hide_common_words():
             assert common <= np.minimum(tallies[i], tallies[j]).sum()
 
 
+def test_bits_of_tallies_never_exceed_the_words_without_partner():
+    rng = np.random.default_rng(6)
+    rows = [rng.integers(0, 300, n).astype(np.uint64) for n in (0, 1, 9, 80, 300, 2000)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    bits = order_minhash._marked(order_minhash._tallied(np.concatenate(rows), bounds)).view(np.uint64)
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows):
+            alone = sum(max(0, int((x == v).sum() - (y == v).sum())) for v in range(300))
+            assert np.bitwise_count(bits[i] & ~bits[j]).sum() <= alone
+
+
+def test_texts_are_named_once_however_many_pairs_they_are_in(docs, monkeypatch):
+    """The same words in another order pass every tally, so all pairs are aligned; the filter for their texts is built from the texts."""
+    named, build = [], order_minhash.bitfilter.build
+    monkeypatch.setattr(order_minhash.bitfilter, "build", lambda values: (named.append(values.count()), build(values))[1])
+    rng = random.Random(14)
+    passage, rest = [f"p{i}" for i in range(65)], [f"r{i}" for i in range(35)]
+    rows = [(i, " ".join([*passage, *rng.sample(rest, len(rest))])) for i in range(40)]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs(rows)).collect()}
+    assert got == _brute(rows)
+    assert max(named) <= len(rows)
+
+
+def test_texts_whose_lengths_do_not_fit_are_not_dealt_or_stored(docs, monkeypatch):
+    """Texts that share a passage are in its sets; no set has two that could be alike."""
+    made, staged = [], order_minhash.staged
+    monkeypatch.setattr(order_minhash, "staged", lambda df, label: (made.append((label, staged(df, label))), made[-1][1])[1])
+    rng = random.Random(15)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*passage, *[f"w{rng.randrange(10**6)}" for _ in range(int(70 * 1.3**i) - 60)]])) for i in range(6)]
+    assert all(r["class_id"] == r["doc_id"] for r in order_minhash.near_duplicates(docs(rows)).collect())
+    counts = {label: df.count() for label, df in made if label in ("shared", "held")}
+    assert counts["shared"] > 10 and counts["held"] == 0
+    assert not any("text" in df.columns for _, df in made)
+
+
 def test_edges_ties_repeats_and_clashing_names(docs):
     rows = docs([*EDGE_ROWS, (907, "word " * 120_000)], words=F.lit(1), sketches=F.lit("x"), class_id=F.lit(0), digest=F.lit("y"))
     got = order_minhash.near_duplicates(rows).collect()
