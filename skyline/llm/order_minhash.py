@@ -278,7 +278,7 @@ class _Links:
             return
         # only the bodies that these pairs need are moved
         needed = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-        bodies = _chosen(self.bodies, needed).dropDuplicates(["digest"])
+        bodies = self.bodies.filter(_named_in(needed)("digest")).dropDuplicates(["digest"])
         left = bodies.select(F.col("digest").alias("a"), F.col("text").alias("left"))
         right = bodies.select(F.col("digest").alias("b"), F.col("text").alias("right"))
         # a pair is small before the join and long to align after it
@@ -289,15 +289,15 @@ class _Links:
             self.parts = components(self.found, "a", "b")
 
 
-def _chosen(bodies: DataFrame, texts: DataFrame) -> DataFrame:
-    """(digest, text) of the texts named in ``texts``, and of few others; only digests go to Python, and no body is moved."""
+def _named_in(texts: DataFrame):
+    """A function of digests: whether ``texts`` names them in ``digest``. Few others pass; only digests go to Python."""
     chosen = bitfilter.build(texts.select(low_half("digest").alias("half")))
 
     @F.arrow_udf("boolean")
     def named(digests: pa.Array) -> pa.Array:
         return pa.array(bitfilter.contains(chosen, np.frombuffer(b"".join(digests.to_pylist()), np.int64)[::2]))
 
-    return bodies.filter(named("digest"))
+    return named
 
 
 def low_half(column: str) -> Column:
@@ -461,7 +461,10 @@ def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.first("keep_id").alias("keep_id")).filter("n > 1")
     copied = staged(copied.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep_id")), "copied")
     marked = docs.withColumn("__digest", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))))
-    left = marked.join(gone, "__digest", "left_anti")
-    alone = left.join(copied, "__digest", "left_anti").select(*docs.columns)
+    # most rows are the only one of their text and class; they are told by their digest, and not moved
+    named = _named_in(gone.union(copied.select("__digest")).withColumnRenamed("__digest", "digest"))
+    alone = marked.filter(~named("__digest")).select(*docs.columns)
+    left = marked.filter(named("__digest")).join(gone, "__digest", "left_anti")
+    alone = alone.union(left.join(copied, "__digest", "left_anti").select(*docs.columns))
     same = left.join(copied, "__digest").filter(F.col("doc_id").cast("bigint").eqNullSafe(F.col("__keep_id")))
     return alone.union(same.dropDuplicates(["__digest"]).select(*docs.columns))

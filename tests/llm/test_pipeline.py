@@ -76,6 +76,18 @@ def test_near_duplicate_stage(spark, docs):
         assert len(found) == 1 and found[0][0] == least
 
 
+def test_rows_alone_in_their_class_are_not_joined(spark, docs, monkeypatch):
+    """Only rows that may go, or have copies, are named for the joins with the classes."""
+    named, build = [], pipeline.order_minhash.bitfilter.build
+    monkeypatch.setattr(pipeline.order_minhash.bitfilter, "build", lambda values: (named.append(values.count()), build(values))[1])
+    rng = random.Random(21)
+    base = [text(rng, 50) for _ in range(9)]
+    rows = [*enumerate(base), (20, base[0] + " more"), (30, base[1]), (31, base[2]), (2, base[2])]
+    kept = _rows(pipeline.drop_near_duplicates(spark, docs(rows), ""))
+    assert sorted((k[0], k[1]) for k in kept) == [*enumerate(base)]
+    assert named[-1] == 3
+
+
 def test_decontamination_stage(spark, docs, folder):
     rng = random.Random(3)
     items = [(i, text(rng, 40)) for i in range(6)] + [(7, None), (8, "")]
