@@ -2,12 +2,18 @@
 
 import glob
 import json
+import os
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from skyline import session
 from skyline.catalog import feed_queries
-from skyline.sources import adapters, readers
+from skyline.plans import batch
+from skyline.schemas import FLIGHT, names
+from skyline.sources import adapters, readers, upsert
 from skyline.streaming import ingest
 
 
@@ -97,3 +103,89 @@ def test_live_legs_of_large_tables_are_made_in_many_tasks(spark, tmp_path):
     tasks = adapters.live_flights(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in tasks) == 250_001
     assert max(r["count"] for r in tasks) <= 100_000
+
+
+def test_a_large_drop_is_taken_in_batches_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1, raising=False)
+    drop, clean, rejects, mark = (str(tmp_path / n) for n in ("drop", "clean", "rejects", "mark"))
+    text = F.format_string('{"flights": [{"flight_id": "f%d", "carrier_code": "C", "origin_airport": "A", "destination_airport": "B", '
+                           '"timestamp": "2024-03-10T10:00:00"}]}', "id")
+    feed_queries.drop_documents(spark.range(400, numPartitions=4).select(text.alias("value")), f"{drop}/scraped/flights")
+    ingest.ingest(spark, drop, clean, rejects, mark, "flights", per_line=True).awaitTermination()
+    rows = spark.read.parquet(clean)
+    assert rows.select("flight_id").distinct().count() == rows.count() == 400
+    assert rows.select("batch_id").distinct().count() == 4
+    assert spark.read.parquet(*glob.glob(f"{clean}/_batch/*/clean")).count() == 100
+
+
+def test_runs_of_several_batches_are_told_apart(spark, root, monkeypatch):
+    whole = {tuple(r) for r in feed_queries.incremental_files(spark, root).collect()}
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1, raising=False)
+    drop = feed_queries.drop_documents
+    monkeypatch.setattr(feed_queries, "drop_documents", lambda docs, path: drop(docs.repartition(3), path))
+    assert {tuple(r) for r in feed_queries.incremental_files(spark, root).collect()} == whole and len(whole) == 2
+
+
+def test_exchanged_rows_of_a_finished_step_are_deleted(spark, tmp_path):
+    local = spark.conf.get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    files = lambda: set(glob.glob(f"{local}/blockmgr-*/**/shuffle_*.data", recursive=True))
+    before = files()
+    kept = spark.range(100_000, numPartitions=4).repartition(5, "id")
+    kept.write.parquet(f"{tmp_path}/t")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.read.parquet(f"{tmp_path}/t").count() == 100_000
+
+
+def history(path, **named):
+    """A drop of the history: a line for each (flight number, day, delay) under a name."""
+    columns = names(FLIGHT)
+    os.makedirs(path, exist_ok=True)
+    for name, rows in named.items():
+        base = dict.fromkeys(columns, "1") | {"Origin": "ORD", "Dest": "ATL", "UniqueCarrier": "AA"}
+        lines = [",".join((base | {"FlightNum": str(n), "Month": str(month), "ArrDelay": delay})[c] for c in columns) for n, month, delay in rows]
+        with open(f"{path}/{name}.csv", "w") as f:
+            f.write("\n".join([",".join(columns), *lines]) + "\n")
+
+
+@pytest.mark.parametrize("keep", ["stored", "latest"])
+def test_silver_in_many_steps_is_that_of_one_and_stages_no_line(spark, tmp_path, monkeypatch, keep):
+    made = []
+    for steps in (False, True):
+        if steps:
+            monkeypatch.setattr(batch, "STEP_BYTES", 100, raising=False)
+            monkeypatch.setattr(upsert, "STEP_ROWS", 1, raising=False)
+            monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
+        base = f"{tmp_path}/{steps}"
+        history(f"{base}/raw/historical", a=[(n, 1 + n % 3, str(n)) for n in range(9)], b=[(n, 1 + n % 3, str(n + 50)) for n in range(4, 12)])
+        batch.run_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/rejects", {}, run="one", keep=keep)
+        history(f"{base}/raw/historical", c=[(n, 1 + n % 2, "90") for n in range(2, 14)] + [(1, 1, "x"), (2, 1, "x")])
+        done = batch.run_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/rejects", {}, run="two", keep=keep)
+        assert done.counts["historical"] == (12, 2)
+        rows = spark.read.parquet(f"{base}/silver/historical").collect()
+        made.append(sorted((r["FlightNum"], r["Month"], r["ArrDelay"], round(r["ArrDelay_zscore"], 9)) for r in rows))
+    assert made[0] == made[1] and len(made[0]) == len({r[:2] for r in made[0]}) == 22
+    assert {r[2] for r in made[0] if r[0] == 5 and r[1] == 3} == {5.0}
+    staged = glob.glob(f"{tmp_path}/**/_parsed/*", recursive=True) + glob.glob(f"{tmp_path}/shared/*")
+    assert {os.path.basename(p).split("-")[0] for p in staged if "_parsed" in p} == {"historical_once"}
+    assert not [p for p in staged if os.path.basename(p).startswith(("csv-lines", "upsert"))]
+
+
+def test_lines_equal_to_the_header_are_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,word\n\n1,x\nn,word\nn,word\n2,y\n")
+    (tmp_path / "b.csv").write_text("\nword,n\nz,3\n")
+    got = readers.read_csv_by_header(spark, str(tmp_path), "n int, word string").collect()
+    assert sorted((r["n"] or 0, r["word"], r[readers.PROBLEM]) for r in got) == [
+        *[(0, "word", "Unreadable values: n")] * 2, (1, "x", None), (2, "y", None), (3, "z", None)]
+
+
+def test_extracts_are_compressed_and_their_lines_not_stored(spark, root, tmp_path, monkeypatch):
+    for module in (feed_queries, readers):
+        monkeypatch.setattr(module, "scratch_path", lambda _, label: f"{tmp_path}/{label}-{len(glob.glob(f'{tmp_path}/*'))}")
+    rows = feed_queries.combined_extracts(spark, root)
+    assert rows.count() == adapters.weather(spark, root).count()
+    made = [p for p in glob.glob(f"{tmp_path}/extracts-*/list*/part-*")]
+    assert made and all(p.endswith(".csv.gz") for p in made)
+    assert {os.path.basename(p).rsplit("-", 1)[0] for p in glob.glob(f"{tmp_path}/*")} == {"extracts", "csv-first", "csv-heads"}
