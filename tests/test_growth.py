@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyline import session
-from skyline.catalog import feed_queries
+from skyline.catalog import feed_queries, report_queries
 from skyline.plans import batch
+from skyline.plans.features import features_of
 from skyline.schemas import FLIGHT, names
-from skyline.sources import adapters, readers, upsert
+from skyline.sources import adapters, readers, upsert, writers
 from skyline.streaming import ingest
 
 
@@ -189,3 +190,40 @@ def test_extracts_are_compressed_and_their_lines_not_stored(spark, root, tmp_pat
     made = [p for p in glob.glob(f"{tmp_path}/extracts-*/list*/part-*")]
     assert made and all(p.endswith(".csv.gz") for p in made)
     assert {os.path.basename(p).rsplit("-", 1)[0] for p in glob.glob(f"{tmp_path}/*")} == {"extracts", "csv-first", "csv-heads"}
+
+
+def test_every_profile_of_the_features_is_stored_before_the_flights_move(spark, root, tmp_path):
+    flights = adapters.flights(spark, root)
+    parts = ("rolling", "buffers", "holidays", "weather", "location")
+    rows = features_of(flights, adapters.holidays(spark, root), adapters.weather(spark, root), parts, tie_break=("flight_uid",), store=str(tmp_path))
+    assert {"rolling", "buffers", "weather", "location", "rate_cells"} <= set(os.listdir(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and plan.count("lineitem.parquet") == flights._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") * 2
+    plain = features_of(flights, adapters.holidays(spark, root), adapters.weather(spark, root), parts, tie_break=("flight_uid",))
+    assert rows.count() == plain.count() and rows.exceptAll(plain.select(*rows.columns)).isEmpty()
+
+
+def test_a_search_table_made_in_steps_holds_the_same_rows_in_ranges(spark, tmp_path):
+    value = F.when(F.col("id") % 7 != 0, F.format_string("v%02d", F.col("id") % 23))
+    rows = spark.range(4000).select("id", value.alias("v"), (F.col("id") % 3).alias("p"))
+    kept = spark.read.parquet(writers.write_in_steps(
+        rows.union(rows), str(tmp_path), "kept", ("id",), lambda some: some.dropDuplicates(["id"]), 3))
+    assert kept.count() == 4000
+    for parts in ((), ("p",)):
+        for _ in range(2):
+            path = writers.write_searchable(kept, str(tmp_path), f"t{len(parts)}", ("v", "id"), ("v",), parts, steps=4)
+        made = spark.read.parquet(path)
+        assert made.count() == 4000 and kept.exceptAll(made.select(*kept.columns)).isEmpty()
+    spans = spark.read.parquet(f"{tmp_path}/t0").select("v", F.col("_metadata.file_path").alias("f")).groupBy("f").agg(
+        F.min(F.coalesce("v", F.lit(""))).alias("low"), F.max(F.coalesce("v", F.lit(""))).alias("high")).orderBy("low", "high").collect()
+    assert len(spans) > 1 and all(a["high"] <= b["low"] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_stored_search_in_steps_finds_the_same(spark, root, monkeypatch):
+    root = root.replace("sf0.001", "sf0.01")
+    whole = [tuple(r) for r in report_queries.search_stored(spark, root).collect()]
+    monkeypatch.setattr(report_queries, "STEP_ROWS", 25_000, raising=False)
+    made = []
+    steps = report_queries.write_searchable
+    monkeypatch.setattr(report_queries, "write_searchable", lambda *a, **b: (made.append(b["steps"]), steps(*a, **b))[1])
+    assert [tuple(r) for r in report_queries.search_stored(spark, root).collect()] == whole and whole and made == [3]
