@@ -3,7 +3,6 @@
 import glob
 import json
 import os
-import tempfile
 import time
 
 import pytest
@@ -128,8 +127,8 @@ def test_runs_of_several_batches_are_told_apart(spark, root, monkeypatch):
 
 
 def test_exchanged_rows_of_a_finished_step_are_deleted(spark, tmp_path):
-    local = spark.conf.get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
-    files = lambda: set(glob.glob(f"{local}/blockmgr-*/**/shuffle_*.data", recursive=True))
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {path for d in dirs for path in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
     before = files()
     kept = spark.range(100_000, numPartitions=4).repartition(5, "id")
     kept.write.parquet(f"{tmp_path}/t")
